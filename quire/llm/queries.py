@@ -9,13 +9,29 @@ from pyspark.sql import functions as F
 
 from quire.llm.decontaminate import contaminated, items_digest, overlap
 from quire.llm.exact_dedup import exact_dedup
+from quire.llm.language_id import language_id
+from quire.llm.line_dedup import line_dedup
+from quire.llm.quality import quality
+from quire.llm.secret_scan import secret_scan
+from quire.llm.sentencepiece_scan import encode
 from quire.llm.simhash import fingerprint_hex, near_duplicates
+from quire.llm.toxicity import toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("toxic_spans").cast("long").alias("n_spans"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = overlap(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
     return found.select(
@@ -23,25 +39,70 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(_table(spark, sf_dir, "documents"), ["doc_id"], with_ids=False)
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), keep="max").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(_table(spark, sf_dir, "documents"), ["doc_id"]).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_decontaminate": op3_decontaminate,
+    "op5_sentencepiece": op5_sentencepiece,
+    "op6_language_id": op6_language_id,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _ASCII_LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL: dict[str, str] = {
+    "op1_line_dedup": r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, i - 1 AS line_no, lines[i] AS line FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+m AS (SELECT *, string_split(masked, ' ') AS toks FROM (
+    SELECT doc_id, line_no, regexp_replace(trim(regexp_replace(line, '[ \t\r\f\x0B]+', ' ', 'g')), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS masked FROM l)
+  WHERE masked <> ''),
+k AS (SELECT doc_id, line_no, masked, toks, len(toks) || ' ' || array_to_string(toks[1:3], ' ') AS leaf FROM m),
+forms AS (SELECT leaf, masked, any_value(toks) AS toks, count(*) AS n FROM k GROUP BY leaf, masked),
+wide AS (SELECT leaf FROM forms GROUP BY leaf HAVING count(*) >= 2 AND sum(n) >= 3),
+spread AS (SELECT leaf, pos, token, sum(n) AS n FROM (
+    SELECT leaf, n, unnest(range(4, len(toks) + 1)) AS pos, unnest(toks[4:]) AS token FROM forms SEMI JOIN wide USING (leaf)) GROUP BY ALL),
+template AS (SELECT leaf, pos, token FROM spread QUALIFY row_number() OVER (PARTITION BY leaf, pos ORDER BY n DESC, token) = 1),
+agree AS (SELECT f.leaf, f.masked, len(any_value(f.toks)) - 3 AS tail, count(*) AS same
+    FROM forms f JOIN template t ON f.leaf = t.leaf AND f.toks[t.pos] = t.token GROUP BY f.leaf, f.masked),
+merged AS (SELECT masked, leaf FROM agree WHERE 10 * same >= 7 * tail),
+keyed AS (SELECT k.doc_id, k.line_no, coalesce('leaf ' || g.leaf, 'line ' || k.masked) AS key FROM k LEFT JOIN merged g USING (masked)),
+often AS (SELECT key, min(doc_id * 1000000000 + line_no) AS first FROM keyed GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+dropped AS (SELECT doc_id, line_no FROM keyed JOIN often USING (key) WHERE doc_id * 1000000000 + line_no <> first),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY line_no) AS text FROM l ANTI JOIN dropped USING (doc_id, line_no) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.lines) AS BIGINT) AS n_lines, CAST((SELECT count(*) FROM dropped x WHERE x.doc_id = d.doc_id) AS BIGINT) AS n_dropped,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
     "op3_decontaminate": f"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_ASCII_LOWER.format("text")}, '{_WORDS}') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all({_ASCII_LOWER.format("text")}, '{_WORDS}') AS w FROM benchmark),
