@@ -15,6 +15,7 @@ from quire.llm.quality import quality
 from quire.llm.secret_scan import secret_scan
 from quire.llm.sentencepiece_scan import encode
 from quire.llm.simhash import fingerprint_hex, near_duplicates
+from quire.llm.suffix_dedup import suffix_dedup
 from quire.llm.toxicity import toxicity
 
 
@@ -39,6 +40,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(_table(spark, sf_dir, "documents"), ["doc_id"], with_text=False)
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(_table(spark, sf_dir, "documents"), ["doc_id"], with_ids=False)
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_decontaminate": op3_decontaminate,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_language_id": op6_language_id,
     "op7_exact_dedup": op7_exact_dedup,
