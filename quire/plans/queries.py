@@ -1,4 +1,480 @@
-"""The engine's registered queries and their SQL."""
+"""The engine's registered queries over the driver's tables, and the same in DuckDB SQL."""
 
-QUERIES = {}
-SQL = {}
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quire.functions import text as tx
+from quire.functions.dates import date_label, page_metadata
+from quire.operators import notes as nt
+from quire.operators import pages as pg
+from quire.operators import triples as tr
+from quire.operators.entities import extract_entities
+from quire.plans.publish import build_pages
+from quire.schemas import DIARY_CONFIG
+from quire.sinks.files import ntriples, upload_plan
+from quire.sources.documents import lines_to_paragraphs, to_xml
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+TS = "2025-05-26T13:36:25"
+BASE = tr.Space().base
+
+
+def _query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+_LINES = """lines AS (SELECT doc_id, i - 1 AS seq, l[i] AS text FROM (
+  SELECT doc_id, string_split(text, chr(10)) AS l, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents))"""
+
+
+@_query(f"WITH {_LINES} SELECT CAST(doc_id AS VARCHAR) AS diary, CAST(seq AS INT) AS seq, text, CAST(CASE WHEN regexp_matches(text, '\\S') THEN 1 ELSE 0 END AS INT) AS n_runs FROM lines")
+def paragraphs(spark, d):
+    """Lines as paragraphs of plain runs."""
+    return lines_to_paragraphs(_t(spark, d, "documents"), "doc_id").select("diary", "seq", "text", F.size("runs").alias("n_runs"))
+
+
+def _marked(spark, d):
+    """Lines of documents with a marker before every tenth: the input of the page queries."""
+    lines = lines_to_paragraphs(_t(spark, d, "documents"), "doc_id")
+    marker = F.concat(F.lit("[p0"), (F.floor(F.col("seq") / 10) + 1).cast("string"), F.lit("]"))
+    run = F.struct(marker.alias("value"), F.lit("text").alias("type"), F.lit(0).alias("start_position"), F.length(marker).alias("end_position"))
+    marks = lines.where("seq % 10 = 0").select("diary", (F.col("seq") * 2).alias("seq"), marker.alias("text"), F.array(run).alias("runs"))
+    return lines.withColumn("seq", F.col("seq") * 2 + 1).unionByName(marks)
+
+
+@_query(f"""WITH {_LINES}, kept AS (SELECT doc_id, seq // 10 + 1 AS page, seq, text FROM lines)
+SELECT CAST(doc_id AS VARCHAR) AS diary, CAST(page AS INT) AS page, coalesce(string_agg(text, chr(10) ORDER BY seq) FILTER (regexp_matches(text, '\\S')), '') AS text,
+  CAST(count(*) FILTER (regexp_matches(text, '\\S')) AS BIGINT) AS n_paras FROM kept GROUP BY doc_id, page""")
+def page_sections(spark, d):
+    """Documents to pages (the flagship query)."""
+    return build_pages(_marked(spark, d)).select("diary", "page", "text", F.size("content").cast("long").alias("n_paras"))
+
+
+_PIECES = "concat(substr(text, 1, 20), '[p', doc_id % 200, ']', substr(text, 21, 20), '[7 verso]', substr(text, 41, 20))"
+
+
+@_query(rf"""WITH p AS (SELECT doc_id, unnest(x) AS piece, unnest(range(len(x))) AS pos FROM (SELECT doc_id,
+  list_filter(string_split(regexp_replace({_PIECES}, '(\[p?\d+[^\]]*\])', chr(1) || '\1' || chr(1), 'g'), chr(1)), lambda y: y <> '') AS x FROM documents))
+SELECT doc_id, CAST(pos AS INT) AS pos, piece, regexp_full_match(piece, '\[p?\d+[^\]]*\]') AS isolated, regexp_full_match(piece, '\[p?0*\d{{0,3}}\]') AS is_page,
+  TRY_CAST(regexp_extract(regexp_extract(piece, '\[p?0*\d{{0,3}}\]'), '\d+') AS INT) AS page FROM p""")
+def page_marker_extract(spark, d):
+    """texts cut at markers, and the number of each."""
+    rows = _t(spark, d, "documents").select("doc_id", F.posexplode(tx.marker_pieces(F.expr(_PIECES))).alias("pos", "piece"))
+    return rows.select("doc_id", "pos", "piece", tx.is_isolated_marker("piece").alias("isolated"), tx.is_page_marker("piece").alias("is_page"), tx.page_index("piece").alias("page"))
+
+
+@_query("""WITH s AS (SELECT DISTINCT o_orderpriority AS diary, CAST(o_custkey AS INT) AS page FROM orders),
+g AS (SELECT diary, unnest(range(0, max(page))) AS page FROM s GROUP BY diary)
+SELECT g.diary, CAST(g.page AS INT) AS page FROM g ANTI JOIN s ON s.diary = g.diary AND s.page = g.page""")
+def page_gaps(spark, d):
+    """Numbers below the largest that are missing."""
+    return pg.missing_pages(_t(spark, d, "orders").select(F.col("o_orderpriority").alias("diary"), F.col("o_custkey").cast("int").alias("page")))
+
+
+_TURNS = "SELECT conv_id, turn, concat('[', turn % 3 + 1, ']') AS mark, concat(role, ': ', text) AS text FROM conversations"
+
+
+@_query(f"""WITH t AS ({_TURNS}), n AS (SELECT *, turn % 3 + 1 AS page, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS number FROM t)
+SELECT CAST(conv_id AS VARCHAR) AS diary, CAST(page AS INT) AS page, arg_min(text, number) AS text, CAST(max(number) AS BIGINT) AS ord FROM n GROUP BY conv_id, page""")
+def dup_page_first(spark, d):
+    """A repeated page number keeps its first content and its last place."""
+    t = _t(spark, d, "conversations").selectExpr("string(conv_id) diary", "int(turn) turn", "concat('[', turn % 3 + 1, ']') mark", "concat(role, ': ', text) text")
+    run = lambda c: F.array(F.struct(F.col(c).alias("value"), F.lit("text").alias("type"), F.lit(0).alias("start_position"), F.length(c).alias("end_position")))
+    rows = t.select("diary", (F.col("turn") * 2).alias("seq"), F.col("mark").alias("text"), run("mark").alias("runs"))
+    rows = rows.unionByName(t.select("diary", (F.col("turn") * 2 + 1).alias("seq"), "text", run("text").alias("runs")))
+    return pg.sectionize(rows, order=("seq",)).select("diary", "page", "text", "ord")
+
+
+@_query(f"""WITH t AS ({_TURNS}), n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS number FROM t),
+p AS (SELECT conv_id, turn % 3 + 1 AS page, max(number) AS ord FROM n GROUP BY ALL)
+SELECT CAST(conv_id AS VARCHAR) AS diary, CAST(page AS INT) AS page FROM p QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY ord) <= 2""")
+def page_limit(spark, d):
+    """O3: the first two pages of each diary in their order."""
+    pages = _t(spark, d, "conversations").selectExpr("string(conv_id) diary", "int(turn % 3 + 1) page", "turn").groupBy("diary", "page").agg(F.max("turn").alias("ord"))
+    return pg.limit_pages(pages, 2).select("diary", "page")
+
+
+_DAYS = "SELECT conv_id, turn, CASE WHEN role = 'user' THEN concat('Friday, August ', turn, ',', 1890 + turn) ELSE text END AS text FROM conversations"
+
+
+@_query(f"""WITH t AS ({_DAYS}) SELECT conv_id, turn, CAST(sum(CASE WHEN regexp_matches(text, ',[0-9]{{4}}$') THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS INT) AS day FROM t""")
+def running_day(spark, d):
+    """The running number of the day."""
+    _t(spark, d, "conversations").createOrReplaceTempView("conversations")
+    return nt.running_day(spark.sql(_DAYS), ["conv_id"], ["turn"]).select("conv_id", "turn", "day")
+
+
+@_query(f"""WITH t AS ({_DAYS}), n AS (SELECT *, CAST(sum(CASE WHEN regexp_matches(text, ',[0-9]{{4}}$') THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS INT) AS day FROM t)
+SELECT day, text AS day_title, turn AS page, concat('https://example.org/view/', turn, 'i') AS image_link FROM n WHERE regexp_matches(text, ',[0-9]{{4}}$')""")
+def day_table(spark, d):
+    """Day titles with image links."""
+    _t(spark, d, "conversations").createOrReplaceTempView("conversations")
+    days = nt.running_day(spark.sql(_DAYS), ["conv_id"], ["turn"]).withColumnRenamed("turn", "page")
+    return nt.day_table(days, "https://example.org/view/")
+
+
+_PEOPLE = """SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'person' ELSE lower(c_mktsegment) END AS Type,
+  CASE c_nationkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'None' ELSE c_name END AS wikidata, CAST(c_custkey % 250 AS INT) AS page FROM customer"""
+
+
+@_query(f"WITH p AS ({_PEOPLE}) SELECT * FROM p WHERE Type = 'person' AND wikidata IS DISTINCT FROM 'None' AND page BETWEEN 73 AND 176 ORDER BY page")
+def people_filter_sort(spark, d):
+    """The conjunctive filter that keeps missing ids, sorted by page."""
+    _t(spark, d, "customer").createOrReplaceTempView("customer")
+    return nt.people_on_pages(spark.sql(_PEOPLE), id_col="wikidata", page_col="page")
+
+
+@_query("""WITH e AS (SELECT event_id, ['PERSON','ORG','NORP','FAC','GPE','LOC','DATE','X'][event_id % 8 + 1] AS label, ['organization / group','visual art','visual arts','book'][event_id % 4 + 1] AS sheet FROM events)
+SELECT event_id, CASE WHEN label = 'PERSON' THEN 'person' WHEN label IN ('ORG', 'NORP') THEN 'organization' WHEN label IN ('FAC', 'GPE', 'LOC') THEN 'location' WHEN label = 'DATE' THEN 'date' ELSE '' END AS kind,
+  CASE WHEN sheet = 'organization / group' THEN 'organization' WHEN sheet IN ('visual art', 'visual arts') THEN 'visual_art' ELSE sheet END AS sheet_kind, label IN ('PERSON', 'ORG', 'LOC') AS allowed FROM e""")
+def type_normalize(spark, d):
+    """Type normalisers and the set of allowed types."""
+    e = _t(spark, d, "events").selectExpr(
+        "event_id", "element_at(array('PERSON','ORG','NORP','FAC','GPE','LOC','DATE','X'), int(event_id % 8) + 1) label", "element_at(array('organization / group','visual art','visual arts','book'), int(event_id % 4) + 1) sheet"
+    )
+    return e.select("event_id", tx.normalize_entity_type("label").alias("kind"), tx.normalize_sheet_type("sheet").alias("sheet_kind"), tx.is_allowed_entity("label").alias("allowed"))
+
+
+def _document_pages(spark, d):
+    """Each document as page 1 of its own diary."""
+    lines = _t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("diary"), F.lit(1).alias("page"), F.col("doc_id").alias("ord"), "text", F.split("text", "\n", -1).alias("l"))
+    content = F.transform("l", lambda t: F.struct(t.alias("text"), F.array(F.struct(t.alias("value"), F.lit("text").alias("type"), F.lit(0).alias("start_position"), F.length(t).alias("end_position"))).alias("runs")))
+    return lines.withColumn("content", content).drop("l")
+
+
+_NOTE_SQL = """WITH {lines}, n AS (SELECT doc_id, {value} AS value FROM documents),
+m AS (SELECT n.doc_id, n.value, l.seq, l.text, {find} - 1 AS start FROM n JOIN lines l USING (doc_id) WHERE {find} > 0),
+f AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY seq) = 1)
+SELECT CAST(doc_id AS VARCHAR) AS id, value AS fulltext, CAST((SELECT min(seq) FROM lines l WHERE l.doc_id = f.doc_id AND l.text = f.text) + 1 AS INT) AS para_index,
+  CAST(start AS INT) AS start, CAST(start + length(value) AS INT) AS "end", {extra} FROM f"""
+
+
+@_query(_NOTE_SQL.format(lines=_LINES, value="translate(substr(text, greatest(length(text) - 14, 1), 9), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')", find="strpos(lower(l.text), lower(n.value))", extra="'admin' AS annotator"))
+def note_match_ci(spark, d):
+    """Notes matched to the first paragraph that holds them, whatever the case."""
+    notes = _t(spark, d, "documents").selectExpr("string(doc_id) diary", "string(doc_id) id", "1 page", "'art' type", "translate(substr(text, greatest(length(text) - 14, 1), 9), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') value", "'Admin' annotator")
+    return nt.match_notes(notes, _document_pages(spark, d)).select("id", "fulltext", "para_index", "start", "end", "annotator")
+
+
+@_query(_NOTE_SQL.format(lines=_LINES, value="substr(text, length(text) // 2 + 1, 6)", find="strpos(l.text, n.value)", extra="CASE WHEN doc_id % 2 = 0 THEN concat('https://www.wikidata.org/wiki/Q', doc_id) ELSE '' END AS links"))
+def note_match_first(spark, d):
+    """Notes matched letter by letter, with permalinks."""
+    notes = _t(spark, d, "documents").selectExpr(
+        "string(doc_id) diary", "string(doc_id) id", "1 page", "'art' type", "substr(text, length(text) div 2 + 1, 6) value", "'x' annotator", "if(doc_id % 2 = 0, concat('Q', doc_id), '') link_id"
+    )
+    found = nt.match_linked_notes(notes, _document_pages(spark, d))
+    return found.select("id", "fulltext", "para_index", "start", "end", F.array_join("permalinks", ",").alias("links"))
+
+
+@_query(_NOTE_SQL.format(lines=_LINES, value="substr(text, 4, 7)", find="strpos(l.text, n.value)", extra="'visual_art' AS type"))
+def note_match_sheet(spark, d):
+    """The second note sheet, whose page is the last long number of a cell."""
+    sheet = _t(spark, d, "documents").selectExpr(
+        "string(doc_id) diary", "string(doc_id) `Entity No.`", "'p. 12, 001' `Diary Page`", "'visual arts' `Entity Type`", "substr(text, 4, 7) `Entity (Value)`", "'d' `Note 1 Descriptor`",
+        "'u1' `DIsambiguation URL 1`", "'' `DIsambiguation URL 2`", "string(null) `DIsambiguation URL 3`",
+    )
+    return nt.match_sheet_notes(sheet, _document_pages(spark, d)).select("id", "fulltext", "para_index", "start", "end", "type")
+
+
+_FOOT = "concat(substr(text, 1, 30), ' ----f', doc_id % 5, '---- ', substr(text, 31, 30), ' ----f', doc_id % 7, '----')"
+
+
+@_query(rf"""WITH p AS (SELECT doc_id, {_FOOT} AS t FROM documents), m AS (SELECT doc_id, t, unnest(x) AS mark, unnest(range(len(x))) AS pos FROM (SELECT *, regexp_extract_all(t, '-{{4}}\w*-{{4}}') AS x FROM p)),
+k AS (SELECT *, replace(mark, '----', '') AS footnote_id, regexp_extract_all(substr(t, 1, strpos(t, mark) - 1), '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s]') AS tokens FROM m)
+SELECT CAST(doc_id AS VARCHAR) AS diary, CAST(pos AS INT) AS pos, footnote_id, array_to_string(tokens[greatest(len(tokens) - 3, 1):], ' ') AS last_tokens, concat('note ', footnote_id) AS text FROM k WHERE footnote_id IN ('f0', 'f1', 'f2', 'f3')""")
+def footnote_refs(spark, d):
+    """Footnote markers joined with their notes."""
+    pages = _t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("diary"), F.lit(1).alias("page"), F.expr(_FOOT).alias("text"))
+    notes = spark.range(4).select(F.concat(F.lit("f"), "id").alias("footnote_id"), F.concat(F.lit("note f"), "id").alias("fulltext"), F.lit("x").alias("type"), F.array(F.lit("a")).alias("permalinks"))
+    return nt.footnote_references(pages, notes).select("diary", "pos", "footnote_id", F.array_join("last_tokens", " ").alias("last_tokens"), "text")
+
+
+@_query(f"""WITH {_LINES}, m AS (SELECT doc_id, seq, concat(text, '----k', seq, '----') AS t, substr(text, 1, 5) AS before FROM lines WHERE length(text) >= 5),
+f AS (SELECT doc_id, seq, t, before, strpos(lower(t), lower(before)) - 1 AS start FROM m)
+SELECT CAST(doc_id AS VARCHAR) AS diary, concat('k', seq) AS id, substr(t, start + 1, 5) AS fulltext, CAST(seq + 1 AS INT) AS para_index, CAST(start AS INT) AS start, CAST(start + 5 AS INT) AS "end" FROM f""")
+def footnotes_cleaned(spark, d):
+    """Cleaned footnotes placed by their marker and the words before it."""
+    pages = _document_pages(spark, d)
+    marked = F.transform("content", lambda p, i: F.struct(F.concat(p["text"], F.lit("----k"), i.cast("string"), F.lit("----")).alias("text"), p["runs"].alias("runs")))
+    notes = pages.select("diary", "page", F.posexplode("content").alias("i", "p")).where(F.length("p.text") >= 5)
+    notes = notes.select("diary", "page", F.concat(F.lit("k"), "i").alias("footnote_id"), F.substring("p.text", 1, 5).alias("before"), F.lit("t").alias("type"), F.lit("a, b").alias("permalinks"))
+    return nt.cleaned_footnotes(pages.withColumn("content", marked), notes).select("diary", "id", "fulltext", "para_index", "start", "end")
+
+
+@_query(f"""WITH {_LINES}, r AS (SELECT doc_id, seq, CASE seq % 4 WHEN 0 THEN concat('<b>', text, '</b>') WHEN 1 THEN concat('<i>', text, '</i>') WHEN 2 THEN concat('<u>', text, '</u>') ELSE text END AS x FROM lines)
+SELECT doc_id, concat('<html>', chr(10), chr(9), '<body>', string_agg(concat(chr(10), chr(9), chr(9), '<p>', x, '+</p>'), '' ORDER BY seq), chr(10), chr(9), '</body>', chr(10), '</html>') AS html FROM r GROUP BY doc_id""")
+def html_render(spark, d):
+    """Pages of styled runs as HTML."""
+    style = lambda i: F.element_at(F.array(*[F.lit(x) for x in ("bold", "italic", "underline", "strike")]), (i % 4 + 1).cast("int"))
+    run = lambda v, k: F.struct(v.alias("value"), k.alias("type"))
+    content = F.transform(F.split("text", "\n", -1), lambda t, i: F.struct(F.array(run(t, style(i)), run(F.lit("+"), F.lit("text"))).alias("runs")))
+    return _t(spark, d, "documents").select("doc_id", tx.render_html(content).alias("html"))
+
+
+@_query("""SELECT page_id, nullif(regexp_extract(html, '<a\\s+(?:[^>]*?\\s+)?href=["'']([^"'']*)["'']', 1), '') AS href FROM pages""")
+def href_extract(spark, d):
+    """the target of the first link."""
+    return _t(spark, d, "pages").select("page_id", tx.extract_href("html").alias("href"))
+
+
+_DIRTY = "concat('a [0012] b [007]', chr(10), '   ', chr(10), '<x> Friday, May ', doc_id % 28 + 1, ', 1891 y', chr(160), chr(10), text, chr(10), 'z Sept. 3, 1892')"
+_MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December|Jan.|Feb.|Mar.|Apr.|Jul.|Aug.|Sept.|Oct.|Nov.|Dec."
+
+
+@_query(rf"""WITH a AS (SELECT doc_id, regexp_replace(replace(replace(regexp_replace(translate({_DIRTY}, '<>' || chr(160), '[] '), '(\[0+[\d]+\])', chr(10) || '\1' || chr(10), 'g'), '[00', '[p'), '[0', '[p'),
+  '(?m)^\s*$\n', '', 'g') AS t FROM documents), l AS (SELECT doc_id, unnest(x) AS line, unnest(range(len(x))) AS i FROM (SELECT doc_id, string_split(t, chr(10)) AS x FROM a))
+SELECT doc_id, string_agg(CASE WHEN regexp_matches(line, '\b(?:{_MONTHS})\s+\d{{1,2}},\s+\d{{4}}') THEN '$$HEADER$$_' ELSE '' END || line, chr(10) ORDER BY i) AS text FROM l GROUP BY doc_id""")
+def text_clean(spark, d):
+    """F16: the cleaning steps of raw transcripts."""
+    return _t(spark, d, "documents").select("doc_id", tx.clean_transcript(F.expr(_DIRTY)).alias("text"))
+
+
+@_query("SELECT p.page_id AS page, concat('img', d.doc_id) AS image FROM pages p LEFT JOIN documents d ON d.doc_id = greatest(p.page_id - 1, 0)")
+def canvas_join(spark, d):
+    """Pages joined with images by position."""
+    images = _t(spark, d, "documents").select(F.lit("d").alias("diary"), F.col("doc_id").cast("int").alias("canvas_pos"), F.concat(F.lit("img"), "doc_id").alias("image"))
+    pages = _t(spark, d, "pages").select(F.lit("d").alias("diary"), F.col("page_id").alias("page"))
+    return pg.join_images(pages, images).select("page", F.coalesce("image", F.lit("img")).alias("image"))
+
+
+@_query("""WITH l AS (SELECT event_id, CAST(user_id AS INT) AS page, CASE WHEN event_id % 5 = 0 THEN NULL ELSE concat('POINT(', event_id, ' 1)') END AS wkt, event_type AS name FROM events),
+k AS (SELECT * FROM l WHERE wkt IS NOT NULL QUALIFY row_number() OVER (PARTITION BY page ORDER BY event_id DESC) = 1)
+SELECT CAST(p.page_id AS INT) AS page, k.wkt AS location_wkt, k.name AS location_name, concat('https://www.wikidata.org/wiki/Q', k.event_id) AS location_link FROM pages p JOIN k ON k.page = p.page_id
+UNION ALL SELECT CAST(p.page_id AS INT), NULL, NULL, NULL FROM pages p ANTI JOIN k ON k.page = p.page_id""")
+def location_join(spark, d):
+    """Pages enriched with their last location."""
+    locations = _t(spark, d, "events").selectExpr("'d' diary", "event_id row_no", "int(user_id) page", "if(event_id % 5 = 0, null, concat('POINT(', event_id, ' 1)')) wkt", "event_type name", "concat('Q', event_id) link_id")
+    pages = _t(spark, d, "pages").selectExpr("'d' diary", "int(page_id) page")
+    return pg.join_locations(pages, locations).drop("diary")
+
+
+def _graph(sql_rows: str, source: str, kind: str, key: str) -> str:
+    return f"""SELECT DISTINCT '{kind}' AS graph_kind, CAST({key} AS VARCHAR) AS graph_key, t.s AS subject, t.p AS predicate, t.o AS object, t.k AS object_kind, t.d AS datatype
+FROM (SELECT {key}, unnest([{sql_rows}]) AS t FROM {source}) WHERE t.o IS NOT NULL"""
+
+
+def _row(s: str, p: str, o: str, kind: str = "iri", datatype: str | None = "string") -> str:
+    d = f"'{tr.XSD}{datatype}'" if kind == "literal" and datatype else "NULL"
+    return f"{{'s': {s}, 'p': '{p}', 'o': {o}, 'k': '{kind}', 'd': {d}}}"
+
+
+_D = f"'{BASE}resource/diary/' || n_nationkey"
+_I = "'https://images.example.org/' || n_nationkey"
+_ONTO = f"{BASE}ontology/"
+_DIARY_SQL = _graph(
+    ", ".join([
+        _row(f"'{tr.PLATFORM}fileContainer'", f"{tr.LDP}contains", _D), _row(_D, f"{tr.RDF}type", f"'{tr.CRM}E22_Man-Made-Object'"), _row(_D, f"{tr.CRM}P2_has_type", f"'{_ONTO}Diary'"),
+        _row(_D, f"{tr.RDFS}label", "'Diary ' || n_regionkey || CASE WHEN n_nationkey % 2 = 0 THEN '' ELSE ', ' || n_name END", "literal"),
+        _row(_D, f"{_ONTO}order", "CAST(n_regionkey AS VARCHAR)", "literal", "integer"), _row(_D, f"{_ONTO}is_published", "'true'", "literal", "boolean"),
+        _row(_D, f"{_ONTO}iiif-manifest", "CASE WHEN n_nationkey % 3 = 0 THEN 'https://m.example.org' END", "literal"),
+        _row(_D, f"{tr.CRM}P183i_has_representation", _I), _row(_I, f"{tr.RDF}type", f"'{tr.CRM}E38_Image'"), _row(_I, f"{tr.RDF}type", f"'{tr.IMAGE_CLASS}'"),
+    ]), "nation", "diary", "n_nationkey",
+)
+
+
+def _diaries(spark, d):
+    return _t(spark, d, "nation").selectExpr(
+        "string(n_nationkey) diary", "concat('https://images.example.org/', n_nationkey) image", "if(n_nationkey % 2 = 0, null, n_name) title", "n_regionkey idx", "if(n_nationkey % 3 = 0, 'https://m.example.org', null) iiif_manifest"
+    )
+
+
+@_query(_DIARY_SQL)
+def triples_diary(spark, d):
+    """Graphs of diaries."""
+    return tr.diary_triples(_diaries(spark, d))
+
+
+_P, _F = f"'{BASE}resource/diary/d/page/' || doc_id", f"'{BASE}diary/d/document/' || doc_id"
+_PI = "'https://images.example.org/' || doc_id"
+
+
+@_query(_graph(
+    ", ".join([
+        _row(f"'{tr.PLATFORM}fileContainer'", f"{tr.LDP}contains", _F), _row(_F, f"{tr.RDF}type", f"'{tr.PLATFORM}File'"), _row(_F, f"{tr.RDF}type", f"'{tr.LDP}Resource'"), _row(_F, f"{tr.RDF}type", f"'{_ONTO}Document'"),
+        _row(_F, f"{tr.RDFS}label", "'LDP Container of document file of d_' || doc_id || '.html'", "literal"), _row(_F, f"{tr.PLATFORM}fileContext", f"'{tr.TEXT_DOCUMENTS}'"),
+        _row(_F, f"{tr.PLATFORM}fileName", "'d_' || doc_id || '.html'", "literal"), _row(_F, f"{tr.PLATFORM}mediaType", "'form-data'", "literal"), _row(_F, f"{tr.PROV}generatedAtTime", f"'{TS}'", "literal", "dateTime"),
+        _row(_F, f"{tr.PROV}wasAttributedTo", f"'{tr.ADMIN}'"), _row(_P, f"{tr.CRM}P129i_is_subject_of", _F), _row(_PI, f"{tr.RDF}type", f"'{tr.CRM}E38_Image'"), _row(_PI, f"{tr.RDF}type", f"'{tr.IMAGE_CLASS}'"),
+        _row(_P, f"{tr.CRM}P183i_has_representation", _PI), _row(_P, f"{tr.RDF}type", f"'{_ONTO}Page'"), _row(_P, f"{tr.RDF}type", f"'{tr.CRM}E22_Man-Made_Object'"), _row(_P, f"{tr.RDFS}label", "CAST(doc_id AS VARCHAR)", "literal"),
+        _row(_P, f"{_ONTO}index", "CAST(doc_id AS VARCHAR)", "literal", "integer"), _row(_P, f"{_ONTO}part_of", f"'{BASE}resource/diary/d'"), _row(_P, f"{tr.RDF}value", "text", "literal"),
+        _row(_P, f"{_ONTO}hasLocationName", "CASE WHEN doc_id % 4 = 0 THEN source END", "literal", None),
+    ]), "documents", "document", "doc_id",
+))
+def triples_page(spark, d):
+    """R2: graphs of pages."""
+    pages = _t(spark, d, "documents").selectExpr("'d' diary", "doc_id page", "text", "concat('https://images.example.org/', doc_id) image", "if(doc_id % 4 = 0, source, null) location_name")
+    return tr.page_triples(pages, TS)
+
+
+_DAY = "strftime(o_orderdate, '%Y-%m-%d')"
+_OP, _OM = f"'{BASE}resource/diary/d/page/' || o_orderkey", f"'{BASE}resource/diary/d/page/' || o_orderkey || '/production'"
+_OD = f"'{BASE}resource/date/' || {_DAY}"
+
+
+@_query(_graph(
+    ", ".join([
+        _row(_OP, f"{tr.CRM}P108i_was_produced_by", _OM), _row(_OM, f"{tr.RDF}type", f"'{tr.CRM}E12_Production'"), _row(_OM, f"{tr.CRM}P4_has_time-span", f"{_OM} || '/date'"), _row(f"{_OM} || '/date'", f"{tr.RDF}type", f"'{tr.CRM}E52_Time_Span'"),
+        _row(f"{_OM} || '/date'", f"{tr.CRM}P86_falls_within", _OD), _row(_OD, f"{tr.RDF}type", f"'{tr.CRM}E52_Time_Span'"), _row(_OD, f"{tr.RDFS}label", "strftime(o_orderdate, '%Y %B %d')", "literal"), _row(_OD, f"{tr.RDF}value", _DAY, "literal", "date"),
+    ]), "orders", "document", "o_orderkey",
+))
+def triples_page_dates(spark, d):
+    """R2 (dates), A3: production dates of pages."""
+    dates = _t(spark, d, "orders").select(F.lit("d").alias("diary"), F.col("o_orderkey").alias("page"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("object"), F.lit(tx.HEADER_SENTINEL).alias("predicate"), F.lit("").alias("original_text"))
+    return tr.page_date_triples(dates)
+
+
+_A = f"'{BASE}resource/diary/d/annotation/' || doc_id"
+_S = f"'{BASE}diary/d/document/' || (doc_id % 50)"
+_U = f"'{tr.USER}' || CASE WHEN quality = 1 THEN 'ann' ELSE 'admin' END"
+_id = lambda role: f"sha256('d|' || doc_id || '|{role}')"
+_ev, _tg, _rg = f"{_S} || '/annotation-event-' || {_id('event')}", f"{_S} || '/range-source-' || {_id('target')}", f"{_S} || '/range-' || {_id('range')}"
+_st, _en = f"{_S} || '/xpath-' || {_id('start')}", f"{_S} || '/xpath-' || {_id('end')}"
+_so, _eo = f"{_S} || '/offset-' || {_id('start-offset')}", f"{_S} || '/offset-' || {_id('end-offset')}"
+_ft, _px = "'text ' || doc_id", "'/p[' || (doc_id % 9 + 1) || ']'"
+
+
+@_query(_graph(
+    ", ".join([
+        _row(f"'{tr.PLATFORM}formContainer'", f"{tr.LDP}contains", f"{_A} || '/container'"), _row(f"{_A} || '/container'", f"{tr.RDF}type", f"'{tr.LDP}Resource'"), _row(f"{_A} || '/container'", f"{tr.RDF}type", f"'{tr.PROV}Entity'"),
+        _row(f"{_A} || '/container'", f"{tr.RDFS}label", "'LDP Container of annotation in diary d number ' || doc_id", "literal"), _row(f"{_A} || '/container'", f"{tr.PROV}wasAttributedTo", _U),
+        _row(f"{_A} || '/container'", f"{tr.PROV}generatedAtTime", f"'{TS}'", "literal", "dateTime"), _row(_A, f"{tr.RDF}type", f"'{tr.OA}Annotation'"), _row(_A, f"{tr.RDF}type", f"'{tr.CRMDIG}D29_Annotation_Object'"),
+        _row(_ev, f"{tr.RDF}type", f"'{tr.CRMDIG}D30_Annotation_Event'"), _row(_ev, f"{tr.CRM}P14_carried_out_by", _U), _row(_A, f"{tr.CRMDIG}L48i_was_annotation_created_by", _ev),
+        _row(f"{_ev} || '/modifiedAt'", f"{tr.CRM}P81b_begin_of_the_end", f"'{TS}'", "literal", "dateTime"), _row(f"{_ev} || '/modifiedAt'", f"{tr.CRM}P81a_end_of_the_begin", f"'{TS}'", "literal", "dateTime"),
+        _row(_ev, f"{tr.CRM}P4_has_time-span", f"{_ev} || '/modifiedAt'"), _row(_tg, f"{tr.RDF}type", f"'{tr.OA}SpecificResource'"), _row(_tg, f"{tr.RDF}value", _ft, "literal", None), _row(_tg, f"{tr.OA}hasSource", _S),
+        _row(_A, f"{tr.OA}hasTarget", _tg), _row(_rg, f"{tr.RDF}type", f"'{tr.OA}RangeSelector'"), _row(_tg, f"{tr.OA}hasSelector", _rg), _row(_st, f"{tr.RDF}value", _px, "literal", None), _row(_rg, f"{tr.OA}hasStartSelector", _st),
+        _row(_so, f"{tr.RDF}type", f"'{tr.OA}TextPositionSelector'"), _row(_so, f"{tr.OA}start", "'3'", "literal", "nonNegativeInteger"), _row(_so, f"{tr.OA}end", "'3'", "literal", "nonNegativeInteger"), _row(_st, f"{tr.OA}refinedBy", _so),
+        _row(_en, f"{tr.RDF}type", f"'{tr.OA}XPathSelector'"), _row(_en, f"{tr.RDF}value", _px, "literal", None), _row(_rg, f"{tr.OA}hasEndSelector", _en), _row(_eo, f"{tr.RDF}type", f"'{tr.OA}TextPositionSelector'"),
+        _row(_eo, f"{tr.OA}start", "'8'", "literal", "nonNegativeInteger"), _row(_eo, f"{tr.OA}end", "'8'", "literal", "nonNegativeInteger"), _row(_en, f"{tr.OA}refinedBy", _eo),
+        _row(f"{_A} || '/body'", f"{tr.RDF}type", f"'{_ONTO}art'"), _row(f"{_A} || '/body'", f"{tr.RDFS}label", _ft, "literal"), _row(_A, f"{tr.OA}hasBody", f"{_A} || '/body'"),
+        _row(f"{_A} || '/body'", f"{tr.OWL}sameAs", "CASE WHEN toxic = 1 THEN 'https://w.example.org/' || doc_id END"),
+    ]), "labels", "annotation", "doc_id",
+))
+def triples_annotation(spark, d):
+    """Graphs of annotations."""
+    rows = _t(spark, d, "labels").selectExpr(
+        "'d' diary", "string(doc_id) id", "int(doc_id % 50) page", "'art' type", "concat('text ', doc_id) fulltext", "array(if(toxic = 1, concat('https://w.example.org/', doc_id), '')) permalinks",
+        "int(doc_id % 9 + 1) para_index", "3 start", "8 end", "if(quality = 1, 'ann', null) annotator",
+    )
+    return tr.annotation_triples(rows, TS)
+
+
+_N = f"'{BASE}resource/diary/d/day/' || event_id"
+
+
+@_query(_graph(
+    ", ".join([
+        _row(_N, f"{tr.RDF}type", f"'{tr.CRM}E22_Man-Made_Object'"), _row(_N, f"{tr.CRM}P2_has_type", f"'{_ONTO}Day'"), _row(_N, f"{tr.RDFS}label", "'Day #' || event_id || ' (' || strftime(ts, '%Y-%m-%d') || ')'", "literal"),
+        _row(_N, f"{tr.CRM}P46i_forms_part_of", f"'{BASE}resource/diary/d'"), _row(_N, f"{_ONTO}order", "CAST(event_id AS VARCHAR)", "literal", "integer"), _row(_N, f"{tr.CRM}P62i_is_depicted_by", f"'{BASE}resource/diary/d/page/' || user_id"),
+    ]), "events", "day", "event_id",
+))
+def triples_day(spark, d):
+    """Graphs of days."""
+    return tr.day_triples(_t(spark, d, "events").select(F.lit("d").alias("diary"), F.col("event_id").alias("day"), F.date_format("ts", "yyyy-MM-dd").alias("date"), F.col("user_id").alias("page")))
+
+
+@_query(f"""WITH g AS ({_DIARY_SQL}) SELECT graph_key, '<' || subject || '> <' || predicate || '> ' || CASE object_kind WHEN 'iri' THEN '<' || object || '>' ELSE '"' || object || '"^^<' || datatype || '>' END || ' .' AS value FROM g""")
+def ntriples_lines(spark, d):
+    """K9: triples as N-Triples lines."""
+    return ntriples(tr.diary_triples(_diaries(spark, d))).select("graph_key", "value")
+
+
+@_query("""WITH e AS (SELECT event_id, ['diary', 'annotation', 'document'][event_id % 3 + 1] AS kind FROM events)
+SELECT event_id, CASE kind WHEN 'diary' THEN 'https://example.org/resource/diary/' || event_id || '/context' WHEN 'annotation' THEN 'https://example.org/diary/1891/annotation/' || event_id || '/container/context'
+  ELSE 'https://example.org/diary/1891/document/' || event_id || '/context' END AS uri FROM e""")
+def graph_uri_route(spark, d):
+    """Addresses of named graphs."""
+    e = _t(spark, d, "events").selectExpr("event_id", "element_at(array('diary', 'annotation', 'document'), int(event_id % 3) + 1) kind")
+    return e.select("event_id", tr.graph_uri("kind", F.lit("1891"), "event_id").alias("uri"))
+
+
+@_query("""SELECT s.step, s.method, 'https://example.org/resource/diary/' || n_nationkey || '/context' AS graph_uri, 'ttl/diary/' || n_nationkey || '.ttl' AS file
+FROM nation, (VALUES (0, 'DELETE'), (1, 'POST')) s(step, method)""")
+def upload_steps(spark, d):
+    """What an upload would send."""
+    return upload_plan(tr.diary_triples(_diaries(spark, d)), "x")
+
+
+@_query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+def json_path(spark, d):
+    """A value out of JSON text."""
+    return _t(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+
+
+@_query("SELECT o_orderkey, strftime(o_orderdate, '%Y %B %d') AS code_label, strftime(o_orderdate, '%B %d, %Y') AS golden_label FROM orders")
+def date_format(spark, d):
+    """A3: date labels."""
+    return _t(spark, d, "orders").select("o_orderkey", date_label("o_orderdate").alias("code_label"), date_label("o_orderdate", "golden").alias("golden_label"))
+
+
+@_query("""SELECT l_orderkey, l_linenumber, l_partkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_linenumber) - 1 AS INT) AS id FROM lineitem QUALIFY id < 2""")
+def note_number_limit(spark, d):
+    """Rows numbered by page within their diary, and the first of them."""
+    rows = _t(spark, d, "lineitem").selectExpr("l_orderkey diary", "l_partkey page", "l_linenumber row_no")
+    return nt.limit_notes(nt.number_notes(rows), 2).select(F.col("diary").alias("l_orderkey"), F.col("row_no").alias("l_linenumber"), F.col("page").alias("l_partkey"), "id")
+
+
+@_query(r"""WITH t AS (SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]') AS x FROM documents) SELECT doc_id, array_to_string(x[greatest(len(x) - 3, 1):], ' ') AS last FROM t""")
+def last_tokens(spark, d):
+    """The last four tokens."""
+    return _t(spark, d, "documents").select("doc_id", F.array_join(tx.last_tokens("text"), " ").alias("last"))
+
+
+def _sql_text(s: str | None) -> str:
+    return "NULL" if s is None else "'" + s.replace("'", "''") + "'"
+
+
+@_query(
+    "WITH c(diary, image_id, page_regex, title) AS (VALUES " + ", ".join(f"({_sql_text(a)}, {b}, {_sql_text(c)}, {_sql_text(t)})" for a, b, c, t in DIARY_CONFIG) + """),
+x AS (SELECT o_orderkey, [' [12] ', '[12]', '[ 7 ]', '[12 verso, x]', 'no', '[p3]'][o_orderkey % 6 + 1] AS text, ['1891', '1915', '1927', '1933', '1903', '1894-95', '1895', '1897'][o_orderkey % 8 + 1] AS diary FROM orders)
+SELECT o_orderkey, CAST(image_id AS BIGINT) AS image_id, 'https://images.example.org/' || image_id || '/full/full/0/default.jpg' AS image, regexp_matches(text, page_regex) AS is_marker FROM x JOIN c USING (diary)"""
+)
+def diary_dialects(spark, d):
+    """The diary dimension, its image addresses and marker dialects."""
+    config = spark.createDataFrame(DIARY_CONFIG, "diary string, image_id bigint, page_regex string, title string")
+    x = _t(spark, d, "orders").selectExpr(
+        "o_orderkey", "element_at(array(' [12] ', '[12]', '[ 7 ]', '[12 verso, x]', 'no', '[p3]'), int(o_orderkey % 6) + 1) text", "element_at(array('1891', '1915', '1927', '1933', '1903', '1894-95', '1895', '1897'), int(o_orderkey % 8) + 1) diary"
+    )
+    joined = x.join(F.broadcast(config), "diary")  # eight rows
+    return joined.select("o_orderkey", "image_id", tx.image_url("image_id", "https://images.example.org/").alias("image"), tx.matches_dialect("text", "page_regex").alias("is_marker"))
+
+
+@_query(f"WITH {_LINES} SELECT CAST(doc_id AS VARCHAR) AS diary, string_agg('<p>' || text || '</p>', chr(10) ORDER BY seq) AS xml FROM lines GROUP BY doc_id")
+def document_xml(spark, d):
+    """Paragraphs joined, each in tags."""
+    return to_xml(lines_to_paragraphs(_t(spark, d, "documents"), "doc_id"))
+
+
+@_query("""SELECT event_type AS type, CAST(event_id % 7 AS INT) AS day, CAST(user_id AS INT) AS page FROM events WHERE event_type = 'click'""")
+def people_table(spark, d):
+    """Rows of one type, projected."""
+    e = _t(spark, d, "events").selectExpr("if(event_type = 'click', 'PERSON', event_type) type", "int(event_id % 7) day", "'t' text", "'d' description", "int(user_id) page", "0 p", "0 start", "1 end")
+    return nt.people_table(e).select(F.lit("click").alias("type"), "day", "page")
+
+
+@_query()
+def entities(spark, d):
+    """Entities by the default extractor."""
+    return extract_entities(_document_pages(spark, d)).select("diary", "id", "page", "type", "fulltext", "para_index", "start", "end")
+
+
+@_query()
+def fuzzy_dates(spark, d):
+    """A1, A2: the first plausible date of each document by lenient parsing."""
+    dated = _document_pages(spark, d).withColumn("line", F.concat(F.lit("Monday Aug. "), (F.col("ord") % 28 + 1).cast("string"), F.lit(". 91 "), F.substring("text", 1, 10)))
+    dated = dated.withColumn("content", F.concat(F.array(F.struct(F.col("line").alias("text"), F.array().cast("array<struct<value:string,type:string,start_position:int,end_position:int>>").alias("runs"))), "content"))
+    return page_metadata(dated, dt.date(2025, 5, 26), "golden").select("diary", "page", "pos", "object")
