@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-from pathlib import Path
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.workers import share_package
+
 #: Bytes of one Arrow batch handed to a Python worker; bounds the worker's memory for texts of any length but a single giant one.
 BATCH_BYTES = 4 << 20
 
@@ -43,10 +43,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def tune(spark: SparkSession) -> None:
     """Session settings the operators rely on; all are runtime settings and none changes a result."""
-    # where workers share the driver's file system they find this package as the driver did (else: --py-files)
-    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
-    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+    share_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
     # shuffle files of a finished action are not needed again: every reuse goes through materialize()

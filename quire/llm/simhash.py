@@ -169,17 +169,18 @@ def _shard_edges(fp: np.ndarray, half: np.ndarray, home: np.ndarray, radius: int
     """Edges among the rows of one shard, splitting it further by vantage points while that helps."""
     if len(fp) > LEAF:
         split = _vantage(half, reach, rng)
-        if split is not None and split[2] <= 0.85 * len(fp):
+        if split is not None:
             v, r, _ = split
             d = np.bitwise_count(half ^ v).astype(int)
             inside = np.where(home, d <= r, d <= r + reach)
             outside = d > r - reach
-            out = []
-            for side, home_here in ((inside, home), (outside, home & (d > r))):
-                at = np.flatnonzero(side)
-                if home_here[at].any():
-                    out += [(at[a], at[b]) for a, b in _shard_edges(fp[at], half[at], home_here[at], radius, reach, rng)]
-            return out
+            if max(inside.sum(), outside.sum()) <= 0.85 * len(fp):  # else its copies outweigh what the split saves
+                out = []
+                for side, home_here in ((inside, home), (outside, home & (d > r))):
+                    at = np.flatnonzero(side)
+                    if home_here[at].any():
+                        out += [(at[a], at[b]) for a, b in _shard_edges(fp[at], half[at], home_here[at], radius, reach, rng)]
+                return out
     return _spanning(fp, radius)
 
 

@@ -19,9 +19,9 @@ LEVELS = (0, 6, 5, 4, 3)
 #: An entry stands in at least so many toxic documents, with this log odds ratio and z, where a document that k better
 #: entries mark counts as MARKED ** k.
 MARKED = 0.25
-MIN_TOXIC = 8
+MIN_TOXIC = 5
 MIN_ODDS = 2.0
-MIN_Z = 6.0
+MIN_Z = 4.5
 MAX_LEXICON = 2000
 MAX_CHAINS = 20_000
 #: Tokens to each side of a lexicon token that are decoded with it; all others are background.
