@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from quire.functions.text import is_allowed_entity, normalize_entity_type
+from quire.workers import share_package
 
 #: Takes a text, gives (start, end, label) with offsets in code points.
 Extractor = Callable[[str], Iterable[tuple[int, int, str]]]
@@ -42,6 +43,7 @@ def extract_entities(pages: DataFrame, extractor: Extractor | None = None) -> Da
 
     Paragraphs go to the extractor in Arrow batches. id counts from 1 within the diary by page order, paragraph and start.
     """
+    share_package(pages.sparkSession)
     extract = extractor or capitalised()
     paragraphs = pages.select("diary", "page", "ord", F.transform("content", lambda p: p["text"]).alias("texts"))
     lines = paragraphs.select("diary", "page", "ord", F.posexplode("texts").alias("pos", "text"), "texts")

@@ -5,24 +5,34 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-RUN_DDL = "struct<value:string,type:string,start_position:int,end_position:int>"
-PARAGRAPH_DDL = f"struct<text:string,runs:array<{RUN_DDL}>>"
-PARAGRAPHS = _struct(f"diary string, seq int, text string, runs array<{RUN_DDL}>")
-STYLED = _struct("diary string, seq int, text string, styled_runs array<struct<text:string,bold:boolean,italic:boolean,underline:boolean,strikethrough:boolean>>")
-PAGES = _struct(f"diary string, page int, ord bigint, text string, content array<{PARAGRAPH_DDL}>")
-MANIFEST = _struct("sequences array<struct<canvases:array<struct<images:array<struct<resource:struct<`@id`:string>>>>>>>")
-NOTES = _struct("`Page #` string, Type string, Entry string, `Paragraph #` string, Start string, End string, Annotator string, `Wikidata ID` string, WKT string")
-NOTES_SHEET = _struct(
-    "`Diary Page` string, `Entity (Value)` string, `Authority Name` string, `Entity No.` string, `Entity Type` string, `Note 1 Descriptor` string, "
-    "`Note 2 Context` string, `DIsambiguation URL 1` string, `DIsambiguation URL 2` string, `DIsambiguation URL 3` string"
+_BASIC = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "boolean": T.BooleanType()}
+
+
+def _struct(**fields: str | T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, _BASIC[t] if isinstance(t, str) else t) for n, t in fields.items()])
+
+
+def _strings(*names: str) -> T.StructType:
+    return _struct(**dict.fromkeys(names, "string"))
+
+
+RUNS = T.ArrayType(_struct(value="string", type="string", start_position="int", end_position="int"))
+PARAGRAPHS = _struct(diary="string", seq="int", text="string", runs=RUNS)
+STYLED = _struct(
+    diary="string", seq="int", text="string", styled_runs=T.ArrayType(_struct(text="string", bold="boolean", italic="boolean", underline="boolean", strikethrough="boolean"))
+)
+PAGES = _struct(diary="string", page="int", ord="bigint", text="string", content=T.ArrayType(_struct(text="string", runs=RUNS)))
+_RESOURCE = _struct(resource=_strings("@id"))
+MANIFEST = _struct(sequences=T.ArrayType(_struct(canvases=T.ArrayType(_struct(images=T.ArrayType(_RESOURCE))))))
+NOTES = _strings("Page #", "Type", "Entry", "Paragraph #", "Start", "End", "Annotator", "Wikidata ID", "WKT")
+NOTES_SHEET = _strings(
+    "Diary Page", "Entity (Value)", "Authority Name", "Entity No.", "Entity Type", "Note 1 Descriptor", "Note 2 Context", "DIsambiguation URL 1", "DIsambiguation URL 2", "DIsambiguation URL 3"
+)
+ANNOTATIONS = _struct(
+    diary="string", id="string", page="int", type="string", fulltext="string", permalinks=T.ArrayType(T.StringType()), para_index="int", start="int", end="int", annotator="string"
 )
-ANNOTATIONS = _struct("id string, page int, type string, fulltext string, permalinks array<string>, para_index int, start int, end int, annotator string")
-TRIPLES = _struct("graph_kind string, graph_key string, subject string, predicate string, object string, object_kind string, datatype string")
-ISSUES = _struct("stage string, diary string, key string, message string")
+TRIPLES = _strings("graph_kind", "graph_key", "subject", "predicate", "object", "object_kind", "datatype")
+ISSUES = _strings("stage", "diary", "key", "message")
 
 # The columns of a curated note sheet, logical name to header, by diary.
 NOTE_COLUMNS = {

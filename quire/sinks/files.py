@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quire.functions.text import render_html
 from quire.operators.triples import Space, graph_uri
 from quire.schemas import FOOTNOTE_HEADER
+from quire.workers import share_package
 
 
 def write_named_texts(rows: DataFrame, root: str) -> None:
@@ -21,6 +22,7 @@ def write_named_texts(rows: DataFrame, root: str) -> None:
     `root` is a folder that all executors mount. A file appears whole or not at all (written beside, then moved), so that
     repeated tasks do no harm; existing files are replaced.
     """
+    share_package(rows.sparkSession)
     base = unquote(urlparse(root).path) if root.startswith("file:") else root
 
     def write(part: Iterator) -> None:
@@ -98,6 +100,7 @@ def write_ntriples(triples: DataFrame, path: str) -> None:
 
 def turtle(triples: DataFrame, space: Space = Space()) -> DataFrame:
     """One Turtle document per graph: graph_kind, graph_key, body. A graph (a page, an annotation) is small."""
+    share_package(triples.sparkSession)
     prefixes = space.prefixes()
 
     def name(iri: str) -> str:

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from quire.functions.text import not_blank
 from quire.schemas import MANIFEST, NOTES, NOTES_SHEET, PARAGRAPHS, STYLED
+from quire.workers import share_package
 
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 _OFF = {"0", "false", "off", "none"}
@@ -85,6 +86,7 @@ def _parse_styled(content: bytes) -> list[tuple[str, list[dict]]]:
 
 
 def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    share_package(spark)
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
 
 
@@ -165,7 +167,7 @@ def read_text_lines(spark: SparkSession, path: str, keep_ends: bool = False) ->
 def read_text_files(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
     """Whole text files: key (name without suffix), text."""
     name = F.regexp_extract(F.url_decode(F.input_file_name()), r"([^/]+)$", 1)
-    whole = spark.read.option("wholetext", True).option("pathGlobFilter", f"*{suffix}").text(path)
+    whole = spark.read.option("pathGlobFilter", f"*{suffix}").text(path, wholetext=True)
     return whole.select(F.replace(name, F.lit(suffix), F.lit("")).alias("key"), F.col("value").alias("text"))
 
 
