@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -37,8 +38,32 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quire-{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    # small row groups and pages: writers and readers of wide rows stay within little memory
+    df.write.option("parquet.block.size", 16 << 20).option("parquet.page.size", 256 << 10).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._quire_path = path
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return out
+
+
+_tables: dict[str, list[str]] = {}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a materialised table that no later step reads."""
+    _delete(table.sparkSession, table._quire_path)
+    _tables[table.sparkSession.sparkContext.applicationId].remove(table._quire_path)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete every table this application has materialised; call it when the results have been written."""
+    for path in _tables.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)
 
 
 def tune(spark: SparkSession) -> None:
@@ -92,11 +117,29 @@ def held_out(column: str, folds: int, fold: int):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, folds: int, fold: int, max_chars: int) -> list:
+def fit_in_task(rows: DataFrame, fit: Callable[[dict[str, list]], object]) -> object:
+    """Fit a model on a bounded sample inside one task; only the (bounded) model comes to the driver.
+
+    `rows` must be a limited DataFrame, so that it is one partition; `fit` gets its columns as lists.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns: dict[str, list] = {}
+        for batch in batches:
+            for name, values in batch.to_pydict().items():
+                columns.setdefault(name, []).extend(values)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(columns))], pa.binary())], names=["model"])
+
+    found = rows.mapInArrow(run, "model binary").collect()
+    return pickle.loads(found[0].model) if found else fit({})
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, folds: int, fold: int, max_chars: int) -> DataFrame:
     """At most `per_class` training rows of each label value (0 and 1), outside the held-out fold.
 
     The ids are the first ones in the order of a hash, so the sample does not depend on partitioning. Texts over
-    `max_chars` characters are left out of the training sample only. The result is bounded by 2 * per_class texts.
+    `max_chars` characters are left out of the training sample only. The result (text, y) is bounded by
+    2 * per_class texts.
     """
     ids = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out("doc_id", folds, fold))
@@ -107,7 +150,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     for value in (0, 1):
         one = ids.where(F.col("y") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         picked = one if picked is None else picked.unionByName(one)
-    rows = (
+    return (
         docs.select("doc_id", "text")
         .where(F.length("text") <= max_chars)
         .join(F.broadcast(picked), "doc_id")  # at most 2 * per_class ids
@@ -115,4 +158,3 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
         .limit(2 * per_class)
     )
-    return rows.collect()

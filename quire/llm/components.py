@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize
+from quire.llm.common import discard, materialize
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -29,7 +29,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        e = materialize(small.distinct(), "edges")
+        before, e = e, materialize(small.distinct(), "edges")
+        discard(before)
         now = _print(e)
         if now == seen:
             break

@@ -13,11 +13,11 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from quire.llm import textblocks as tb
-from quire.llm.common import held_out, map_arrow, tune
+from quire.llm.common import fit_in_task, held_out, map_arrow, tune
 
 #: Training rows per language, at most, and the longest text taken for training.
 TRAIN_PER_LANGUAGE = 1500
-TRAIN_CHARS = 20_000
+TRAIN_CHARS = 6_000
 MAX_LANGUAGES = 200
 MAX_WORDS = 100_000
 MAX_GRAMS = 50_000
@@ -165,15 +165,14 @@ def _predict(model: Model, column: pa.Array) -> dict:
     return {"lang_pred": pa.array(named.tolist(), pa.string()), "score": pa.array(np.where(n == 0, 0.0, p))}
 
 
-def training_rows(docs: DataFrame, folds: int, fold: int, per_language: int, max_chars: int) -> list[tuple[str, str]]:
+def training_rows(docs: DataFrame, folds: int, fold: int, per_language: int, max_chars: int) -> DataFrame:
     """At most `per_language` labelled texts of each language outside the held-out fold, first in the order of a hash."""
     ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", folds, fold) & (F.length("text") <= max_chars))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = ids.select("doc_id", "lang").withColumn("at", F.row_number().over(order)).where(F.col("at") <= per_language)
     ids = ids.orderBy("lang", "at").limit(per_language * MAX_LANGUAGES).select("doc_id", "lang")
     rows = docs.join(F.broadcast(ids), ["doc_id", "lang"]).where(F.length("text") <= max_chars)
-    rows = rows.select("doc_id", "lang", "text").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(per_language * MAX_LANGUAGES)
-    return [(r.text, r.lang) for r in rows.collect()]
+    return rows.select("doc_id", "lang", "text").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(per_language * MAX_LANGUAGES)
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
@@ -201,5 +200,7 @@ def language_id(
     The model is fitted on a bounded sample (`per_language` texts of at most `max_chars` characters for each of at most
     200 languages), so its tables are bounded and sent to the tasks; prediction covers all rows and whole texts.
     """
-    model = Model(training_rows(docs, folds, fold, per_language, max_chars))
+    tune(docs.sparkSession)
+    rows = training_rows(docs, folds, fold, per_language, max_chars).select("text", "lang")
+    model = fit_in_task(rows, lambda columns: Model(list(zip(columns.get("text", []), columns.get("lang", []), strict=True))))
     return identify(docs, model, ["doc_id"]).select("doc_id", held_out("doc_id", folds, fold).alias("held_out"), "lang_pred", "score")

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm import textblocks as tb
-from quire.llm.common import held_out, labelled_sample, map_arrow, tune
+from quire.llm.common import fit_in_task, held_out, labelled_sample, map_arrow, tune
 
 #: Labelled rows of each class taken for fitting, at most, and the longest text among them.
-TRAIN_PER_CLASS = 4000
-TRAIN_CHARS = 8_000
+TRAIN_PER_CLASS = 3000
+TRAIN_CHARS = 6_000
 #: Word and beginning lengths (bytes) of lexicon entries, tried in this order; 0 is the whole word.
 LEVELS = (0, 6, 5, 4, 3)
 #: An entry stands in at least so many toxic documents, with this log odds ratio and z, where a document that k better
@@ -328,9 +328,10 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, per_c
     transition weights from these labelled tokens.
     """
     tune(docs.sparkSession)
-    rows = labelled_sample(docs, labels, "toxic", per_class, folds, fold, max_chars)
+    rows = labelled_sample(docs, labels, "toxic", per_class, folds, fold, max_chars).select("text", "y")
     share = labels.where(F.col("toxic").isin(0, 1) & ~held_out("doc_id", folds, fold)).agg(F.avg("toxic")).first()[0]
-    return Model([r.text for r in rows], np.array([r.y for r in rows], int), float(share or 0.5))
+    prior = float(share or 0.5)
+    return fit_in_task(rows, lambda columns: Model(columns.get("text", []), np.array(columns.get("y", []), int), prior))
 
 
 _SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("chance", T.DoubleType())])

@@ -23,6 +23,8 @@ from quire.llm.line_dedup import line_dedup
 from quire.llm.suffix_dedup import smaller, suffix_dedup
 
 DATA = "/root/testdata/sf0.01"
+#: Enough labels for every kind of toxic word.
+MORE_DATA = "/root/testdata/sf0.1"
 #: Clashing names on purpose: results must not be disturbed by them.
 SCHEMA = "doc_id long, text string, score string, key string, n_words string"
 
@@ -173,7 +175,7 @@ def brute_suffix(rows, depth):
     return sorted(out)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"block": 700, "bucket": 900}])
+@pytest.mark.parametrize("sizes", [{}, {"block": 700, "bucket": 900, "digit_bucket": 1500}])
 def test_suffix_dedup(spark, sizes):
     rng = random.Random(3)
     shared = [words(rng, 30) for _ in range(4)]
@@ -365,7 +367,7 @@ def test_language_id_of_odd_rows(spark):
 
 
 def scored(spark, operator, label):
-    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = (spark.read.parquet(f"{MORE_DATA}/{t}.parquet") for t in ("documents", "labels"))
     rows = operator(docs, labels).join(labels, "doc_id").where("held_out").collect()
     return np.array([r.score for r in rows]), np.array([r.predicted for r in rows]), np.array([r[label] for r in rows])
 
@@ -378,7 +380,7 @@ def test_quality_on_held_out_rows(spark):
 
 def test_toxicity_on_held_out_rows(spark):
     score, predicted, y = scored(spark, tx.toxicity, "toxic")
-    assert (predicted == y).mean() > 0.9 and score[y == 1].mean() > score[y == 0].mean() + 0.5
+    assert (predicted == y).mean() > 0.97 and score[y == 1].mean() > score[y == 0].mean() + 0.8
     assert ((score >= 0.5) == predicted).all()
 
 
