@@ -77,8 +77,8 @@ def _build(rows: DataFrame, kind: str, key: Column | str, template: list[Column]
     return rows.select(F.lit(kind).alias("graph_kind"), key.cast("string").alias("graph_key"), F.inline(full)).dropDuplicates()
 
 
-def diary_triples(diaries: DataFrame, space: Space = Space()) -> DataFrame:
-    """Graphs of diaries (diary, image, title, idx, iiif_manifest): nine triples, ten with a manifest."""
+def diary_triples(diaries: DataFrame, space: Space = Space(), key: Column | str = "diary") -> DataFrame:
+    """Graphs of diaries (diary, image, title, idx, iiif_manifest): nine triples, ten with a manifest; `key` names the graph."""
     d, image = _cat(space.resource, "diary/", F.col("diary")), F.col("image")
     label = F.concat_ws(", ", _cat("Diary ", F.coalesce(F.col("idx").cast("string"), F.lit("None"))), F.col("title"))
     template = [
@@ -93,11 +93,14 @@ def diary_triples(diaries: DataFrame, space: Space = Space()) -> DataFrame:
         _iri(image, f"{RDF}type", f"{CRM}E38_Image"),
         _iri(image, f"{RDF}type", IMAGE_CLASS),
     ]
-    return _build(diaries, "diary", "diary", template)
+    return _build(diaries, "diary", key, template)
 
 
-def page_triples(pages: DataFrame, run_ts: str, space: Space = Space()) -> DataFrame:
-    """Graphs of pages (diary, page, text, image, location_*): 20 triples and one per location part."""
+def page_triples(pages: DataFrame, run_ts: str, space: Space = Space(), key: Column | str = "page") -> DataFrame:
+    """Graphs of pages (diary, page, text, image, location_*): 20 triples and one per location part.
+
+    `key` names the graph; page numbers are unique within a diary only.
+    """
     number = F.col("page").cast("string")
     p, d = _cat(space.resource, "diary/", F.col("diary"), "/page/", number), _cat(space.resource, "diary/", F.col("diary"))
     f, name, image = _cat(space.base, "diary/", F.col("diary"), "/document/", number), _cat(F.col("diary"), "_", number, ".html"), F.col("image")
@@ -126,7 +129,7 @@ def page_triples(pages: DataFrame, run_ts: str, space: Space = Space()) -> DataF
     for column, name_ in (("location_wkt", "hasLocationWkt"), ("location_name", "hasLocationName"), ("location_link", "hasLocationLink")):
         if column in pages.columns:
             template.append(_lit(p, f"{space.ontology}{name_}", F.col(column), None))
-    return _build(pages, "document", "page", template)
+    return _build(pages, "document", key, template)
 
 
 def page_date_triples(dates: DataFrame, space: Space = Space(), profile: str = "code") -> DataFrame:

@@ -37,13 +37,14 @@ def build_pages(paragraphs: DataFrame, options: Options = Options()) -> DataFram
 
 
 def build_triples(pages: DataFrame, images: DataFrame, options: Options = Options()) -> DataFrame:
-    """Diary and page graphs of pages whose image is known."""
+    """Diary and page graphs of pages whose image is known, keyed <diary>/<diary> and <diary>/<page>."""
     fronts = front_images(images).select(
         "diary", "image", F.lit(options.title).cast("string").alias("title"), F.lit(options.index).cast("int").alias("idx"), F.lit(options.iiif_manifest).cast("string").alias("iiif_manifest")
     )
     fronts = fronts.join(pages.select("diary").distinct(), "diary", "left_semi")
     illustrated = join_images(pages, images)
-    return union_graphs(diary_triples(fronts, options.space), page_triples(illustrated.where("image is not null"), options.run_ts, options.space))
+    whole = diary_triples(fronts, options.space, F.concat_ws("/", "diary", "diary"))
+    return union_graphs(whole, page_triples(illustrated.where("image is not null"), options.run_ts, options.space, F.concat_ws("/", "diary", "page")))
 
 
 def publish(spark: SparkSession, docx: str, manifests: str, out: str, options: Options = Options()) -> DataFrame:
@@ -60,9 +61,7 @@ def publish(spark: SparkSession, docx: str, manifests: str, out: str, options: O
     files.write_page_html(pages, out, options.escape_html)
     triples = build_triples(pages, images, options)
     files.write_ntriples(triples, f"{out}/triples")
-    for row in pages.select("diary").distinct().toLocalIterator():
-        own = build_triples(pages.where(F.col("diary") == row.diary), images, options)
-        files.write_turtle(own, f"{out}/{row.diary}", options.space)
+    files.write_turtle(triples, out, options.space)
     lost = join_images(pages, images).where("image is null").select(F.lit("images").alias("stage"), "diary", F.col("page").cast("string").alias("key"), F.lit("no canvas").alias("message"))
     issues = docx_issues(spark, docx).unionByName(page_issues(pages)).unionByName(lost).unionByName(unusable_markers(split_markers(paragraphs, options.marker)))
     files.write_csv(issues, f"{out}/issues", ["stage", "diary", "key", "message"])

@@ -127,9 +127,10 @@ def turtle(triples: DataFrame, space: Space = Space()) -> DataFrame:
 
 
 def write_turtle(triples: DataFrame, root: str, space: Space = Space()) -> None:
-    """ttl/<kind>/<key>.ttl, one file per graph."""
-    rows = turtle(triples, space).select(_file("ttl/", F.col("graph_kind"), "/", F.col("graph_key"), ".ttl").alias("name"), "body")
-    write_named_texts(rows, root)
+    """ttl/<kind>/<key>.ttl, one file per graph; a key <diary>/<name> goes to <diary>/ttl/<kind>/<name>.ttl."""
+    folder = F.regexp_extract("graph_key", r"^(.*/)?[^/]*$", 1)
+    name = F.concat(folder, F.lit("ttl/"), "graph_kind", F.lit("/"), F.regexp_extract("graph_key", r"([^/]*)$", 1), F.lit(".ttl"))
+    write_named_texts(turtle(triples, space).select(name.alias("name"), "body"), root)
 
 
 def upload_plan(triples: DataFrame, diary: str, base: str = Space().base) -> DataFrame:
