@@ -10,12 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
 from quire.llm import textblocks as tb
 from quire.llm.common import fit_in_task, held_out, map_arrow, tune
 
-#: Training rows per language, at most, and the longest text taken for training.
+#: Training rows per language, about, and the longest text taken for training.
 TRAIN_PER_LANGUAGE = 1500
 TRAIN_CHARS = 6_000
 MAX_LANGUAGES = 200
@@ -166,12 +165,16 @@ def _predict(model: Model, column: pa.Array) -> dict:
 
 
 def training_rows(docs: DataFrame, folds: int, fold: int, per_language: int, max_chars: int) -> DataFrame:
-    """At most `per_language` labelled texts of each language outside the held-out fold, first in the order of a hash."""
+    """About `per_language` labelled texts of each language outside the held-out fold, chosen by a hash of their id.
+
+    The share taken of each language follows from its row count, so no language's rows meet in a task. At most the 200
+    commonest languages are learned, and the limit on the whole sample is firm.
+    """
     ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", folds, fold) & (F.length("text") <= max_chars))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = ids.select("doc_id", "lang").withColumn("at", F.row_number().over(order)).where(F.col("at") <= per_language)
-    ids = ids.orderBy("lang", "at").limit(per_language * MAX_LANGUAGES).select("doc_id", "lang")
-    rows = docs.join(F.broadcast(ids), ["doc_id", "lang"]).where(F.length("text") <= max_chars)
+    counts = ids.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGUAGES)
+    share = counts.select("lang", (per_language / F.col("count")).alias("share"))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
+    rows = ids.join(F.broadcast(share), "lang").where(place < F.col("share"))  # at most MAX_LANGUAGES rows are broadcast
     return rows.select("doc_id", "lang", "text").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(per_language * MAX_LANGUAGES)
 
 

@@ -126,6 +126,21 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(c.n_hit, 0)
        CAST(coalesce(i.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(i.ids, '')) AS items_sha256,
        coalesce(c.n_hit, 0) > 0 AND 20 * coalesce(c.n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN items i USING (doc_id)
+""",
+    "op4_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM d WHERE n >= 50)),
+least AS (SELECT s, min(doc_id) AS m FROM w GROUP BY s),
+hits AS (SELECT w.doc_id, w.i FROM w JOIN least USING (s) WHERE m < w.doc_id),
+marked AS (SELECT *, CASE WHEN i > lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 1 ELSE 0 END AS new FROM hits),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+runs AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY doc_id, run),
+ends AS (SELECT doc_id, a, b FROM runs UNION ALL SELECT doc_id, n, n FROM d),
+parts AS (SELECT e.doc_id, e.a, e.b, substr(d.h, 2 * p + 1, 2 * (e.a - p)) AS part FROM (
+  SELECT *, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a, b) AS p FROM ends) e JOIN d USING (doc_id)),
+kept AS (SELECT doc_id, string_agg(part, '' ORDER BY a, b) AS h, sum(b - a) AS n_removed, count(*) - 1 AS n_spans FROM parts GROUP BY doc_id)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept USING (doc_id)
 """,
     "op7_exact_dedup": """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
