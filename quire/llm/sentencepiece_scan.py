@@ -22,7 +22,7 @@ GIANT = 1 << 16
 CHUNK = 1 << 14
 #: Scores up to this one mean that the piece is never made by merging.
 NO_MERGE = -100_000_000
-_CACHE = 300_000
+_CACHE = 150_000
 _NONE = -(1 << 60)
 _UNIT = re.compile(r"\n| ?[^ \n]+| ")
 
