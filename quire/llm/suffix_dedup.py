@@ -13,52 +13,51 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm import textblocks as tb
-from quire.llm.common import map_arrow, materialize, tune
+from quire.llm.common import discard, map_arrow, materialize, tune
 
 #: Threshold in bytes: repeated strings of this length are removed.
 DEPTH = 50
 #: Bytes of the first radix digit: the gram with the smallest hash among those of a window.
 DIGIT = 24
-#: Bytes of text of a block, the unit that first digits are folded in.
-BLOCK = 4 << 20
-#: Bytes of text per bucket of the first digit.
+#: Bytes of text of a block, the unit that first digits are folded in; small enough for a row of it to be no burden on the JVM.
+BLOCK = 384 << 10
+#: Bytes of text per bucket of the first pass (hashes only) and of the further ones (the bytes that repeat).
+DIGIT_BUCKET = 64 << 20
 BUCKET = 12 << 20
 
 
+def _rolling(sums: np.ndarray, width: int) -> np.ndarray:
+    """Hash of the `width` bytes from each position (slices only: this runs over every byte)."""
+    h = sums[width:] - sums[:-width]
+    h *= tb.inverse_powers(len(h))
+    return tb.mix(h)
+
+
+def _sliding_min(values: np.ndarray, span: int) -> np.ndarray:
+    """Minimum of each `span` values that follow each other, by doubling."""
+    width = 1
+    while 2 * width <= span:
+        values = np.minimum(values[:-width], values[width:])
+        width *= 2
+    return values if width == span else np.minimum(values[: len(values) - (span - width)], values[span - width :])
+
+
 class Suffixes:
-    """All windows of `depth` bytes of a block of texts, and the first digit of each."""
+    """All windows of `depth` bytes of a block of texts (start, text), and runs of neighbours with one first digit."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, depth: int, digit: int) -> None:
-        self.data, self.depth = data, depth
+        self.data = data
         self.sums = tb.prefix(data)
-        n = len(data)
         count = np.maximum(np.diff(offsets) - depth + 1, 0)
-        self.first = np.concatenate([[0], np.cumsum(count)])
-        if n < depth:
-            self.at = self.doc = self.anchor = np.zeros(0, np.int64)
-            self.places = np.zeros(0, np.int64)
-            self.gram = np.zeros(0, np.uint64)
-            return
-        start = np.arange(n - digit + 1)
-        grams = tb.span_hash(self.sums, start, start + digit)
-        # sliding minimum of the grams of each window, the leftmost of equals
-        span, m = depth - digit + 1, n - depth + 1
-        best, where = grams[:m].copy(), np.zeros(m, np.int8)
-        for j in range(1, span):
-            other = grams[j : j + m]
-            less = other < best
-            best[less] = other[less]
-            where[less] = j
-        inside = np.zeros(n + 1, np.int64)
-        np.add.at(inside, offsets[:-1][count > 0], 1)
-        np.add.at(inside, (offsets[:-1] + count)[count > 0], -1)
-        self.at = np.flatnonzero(np.cumsum(inside[:-1]) > 0)  # starts of windows that stay in their text
         self.doc = np.repeat(np.arange(len(count)), count)
-        place = self.at + where[self.at]
-        new = np.concatenate([[True], (place[1:] != place[:-1]) | (self.doc[1:] != self.doc[:-1])]) if len(place) else np.zeros(0, bool)
-        self.anchor = np.cumsum(new) - 1  # windows that follow each other share the place of their digit
-        self.places = place[new]
-        self.gram = grams[self.places]
+        self.at = np.arange(len(self.doc)) + np.repeat(offsets[:-1] - np.cumsum(count) + count, count)
+        if not len(self.at):
+            self.gram, self.anchor, self.spot = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return
+        gram = _sliding_min(_rolling(self.sums, digit), depth - digit + 1)[self.at]
+        new = np.concatenate([[True], (gram[1:] != gram[:-1]) | (self.doc[1:] != self.doc[:-1])])
+        self.anchor = np.cumsum(new) - 1
+        self.gram, self.spot = gram[new], self.doc[new]
 
 
 def smaller(data: np.ndarray, sums: np.ndarray, at: np.ndarray, doc: np.ndarray, depth: int) -> np.ndarray:
@@ -153,6 +152,12 @@ def _blocks(docs: DataFrame, depth: int, size: int) -> DataFrame:
     return materialize(docs.select("doc_id", "text").mapInArrow(pack, _BLOCKS), "blocks")
 
 
+def _rows(batch: pa.RecordBatch):
+    """Rows one at a time: a block is large."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _open(row: dict, depth: int, digit: int) -> tuple[Suffixes, np.ndarray, np.ndarray]:
     data = np.frombuffer(row["data"], np.uint8)
     lengths = np.array(row["lengths"], np.int64)
@@ -161,7 +166,8 @@ def _open(row: dict, depth: int, digit: int) -> tuple[Suffixes, np.ndarray, np.n
 
 def _dealt(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct grams ordered by bucket, and the bounds of each bucket."""
-    unique = np.unique(grams)
+    unique = np.sort(grams)
+    unique = unique[np.concatenate([[True], unique[1:] != unique[:-1]])] if len(unique) else unique
     bucket = (unique % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     return unique[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -175,7 +181,7 @@ def _shared_digits(blocks: DataFrame, buckets: int, depth: int, digit: int) -> D
 
     def emit(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 s, ids, _ = _open(row, depth, digit)
                 grams, bounds = _dealt(s.gram, buckets)
                 short = (grams // np.uint64(buckets) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -230,7 +236,7 @@ _RANGES = "block long, piece int, start long, end long"
 _MOVED = [("bucket", pa.int32()), ("block", pa.int64()), ("data", pa.binary()), ("size", pa.binary()), ("ids", pa.binary()), ("piece", pa.binary()), ("start", pa.binary()), ("found", pa.binary())]
 
 
-def _repeats(blocks: DataFrame, shared: DataFrame, buckets: int, depth: int, digit: int) -> DataFrame:
+def _repeats(blocks: DataFrame, shared: DataFrame, digit_buckets: int, buckets: int, depth: int, digit: int) -> DataFrame:
     """Further passes: ranges of pieces that repeat a document of smaller id.
 
     Windows of a shared first digit are settled inside their block where it can be done; of the rest, the bytes move to
@@ -240,9 +246,9 @@ def _repeats(blocks: DataFrame, shared: DataFrame, buckets: int, depth: int, dig
 
     def settle(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 s, ids, starts = _open(row, depth, digit)
-                grams, bounds = _dealt(s.gram, buckets)
+                grams, bounds = _dealt(s.gram, digit_buckets)
                 marked = np.zeros(len(grams), bool)
                 copy = np.zeros(len(ids), bool)
                 for f in row["flags"] or []:
@@ -256,7 +262,7 @@ def _repeats(blocks: DataFrame, shared: DataFrame, buckets: int, depth: int, dig
                 order = np.argsort(grams)
                 place = order[np.searchsorted(grams[order], s.gram)]
                 # digits of several documents of this block
-                spot = s.doc[np.searchsorted(s.anchor, np.arange(len(s.gram)))] if len(s.gram) else np.zeros(0, int)
+                spot = s.spot
                 held = ~copy[spot]
                 low, high = np.full(len(grams), np.iinfo(np.int64).max), np.full(len(grams), np.iinfo(np.int64).min)
                 np.minimum.at(low, place[held], ids[spot[held]])
@@ -326,7 +332,7 @@ def _repeats(blocks: DataFrame, shared: DataFrame, buckets: int, depth: int, dig
     return moved.groupBy("bucket").applyInPandas(compare, _RANGES)
 
 
-def repeated_spans(docs: DataFrame, depth: int = DEPTH, digit: int = DIGIT, block: int = BLOCK, bucket: int = BUCKET) -> DataFrame:
+def repeated_spans(docs: DataFrame, depth: int = DEPTH, digit: int = DIGIT, block: int = BLOCK, digit_bucket: int = DIGIT_BUCKET, bucket: int = BUCKET) -> DataFrame:
     """Byte ranges (doc_id, text_key, start, end) covered by strings of `depth` bytes that a document of smaller id holds too.
 
     Ranges of one document may overlap or touch. text_key is the MD5 of the text; rows without an id have no ranges.
@@ -337,9 +343,10 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, digit: int = DIGIT, bloc
     docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
     blocks = _blocks(docs, depth, block)
     total = blocks.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0]
-    buckets = max(8, -(-total // bucket))
-    shared = materialize(_shared_digits(blocks, buckets, depth, digit), "digits")
-    ranges = materialize(_repeats(blocks, shared, buckets, depth, digit), "ranges")
+    digit_buckets, buckets = max(8, -(-total // digit_bucket)), max(8, -(-total // bucket))
+    shared = materialize(_shared_digits(blocks, digit_buckets, depth, digit), "digits")
+    ranges = materialize(_repeats(blocks, shared, digit_buckets, buckets, depth, digit), "ranges")
+    discard(shared)
     named = blocks.select("block", F.posexplode(F.arrays_zip("ids", "keys")).alias("piece", "doc"))
     return ranges.join(named, ["block", "piece"]).select(F.col("doc.ids").alias("doc_id"), F.col("doc.keys").alias("text_key"), "start", "end")
 

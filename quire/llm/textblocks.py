@@ -82,6 +82,11 @@ def prefix(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def inverse_powers(n: int) -> np.ndarray:
+    """Factors that make a difference of prefix sums independent of its place, for the first n places."""
+    return _power_table(_BASE_INVERSE, n)
+
+
 def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of data[start:end] for many spans; equal spans have equal hashes wherever they stand."""
     inverse = _power_table(_BASE_INVERSE, len(sums))
