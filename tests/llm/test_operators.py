@@ -452,3 +452,20 @@ def test_suspects_miss_no_match():
     texts = ["a TOKEN: abcdefg", "x" * 19, "0" * 24, "AKIA" + "A" * 16, "ApiKey='abcdef'", "nothing", None, ""]
     marks = ss._suspects(*tb.buffer(pa.array(texts)))
     assert marks.tolist() == [True, False, True, True, True, False, False, False]
+
+
+# --- shared tables
+
+
+def test_materialised_tables_can_be_deleted(spark):
+    from pathlib import Path
+
+    from quire.llm.common import discard, discard_all, materialize
+
+    one, two = (materialize(spark.range(3), "t") for _ in range(2))
+    here = lambda t: Path(t._quire_path.removeprefix("file://")).exists()
+    assert one.count() == 3 and here(one)
+    discard(one)
+    assert not here(one) and here(two)
+    discard_all(spark)
+    assert not here(two)
