@@ -15,12 +15,18 @@ FIELD = "<*>"
 _BLANKS = r"[ \t\r\f\x0B]+"
 
 
-def _masked(line):
-    """The line with blanks collapsed and every token that holds a digit replaced by a variable field."""
-    line = F.when(line.rlike(r"[\t\r\f\x0B]|  "), F.regexp_replace(line, _BLANKS, " ")).otherwise(line)
-    line = F.trim(line)
+def _flat(line):
+    """The line with blanks collapsed; lines that need no change are only searched."""
+    blanks = line.contains("  ")
+    for c in "\t\r\f\x0b":
+        blanks = blanks | line.contains(c)
+    return F.trim(F.when(blanks, F.regexp_replace(line, _BLANKS, " ")).otherwise(line))
+
+
+def _masked(flat):
+    """Every token that holds a digit replaced by a variable field."""
     # anchored at token starts, so that a very long token is read once
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)).otherwise(line)
+    return F.when(flat.rlike("[0-9]"), F.regexp_replace(flat, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)).otherwise(flat)
 
 
 def _text_key(text="text"):
@@ -30,8 +36,10 @@ def _text_key(text="text"):
 def _lines(docs: DataFrame, depth: int) -> DataFrame:
     """One row per line that is not blank: document, line number, masked line's digest and its leaf of the tree."""
     rows = docs.select("doc_id", _text_key().alias("text_key"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line_no", "line"))
-    rows = rows.select("doc_id", "text_key", "line_no", _masked(F.col("line")).alias("masked")).where("masked <> ''")
-    tokens = F.length("masked") - F.length(F.translate("masked", " ", "")) + 1
+    # blank lines are told by the line itself: a filter on the masked form would compute it twice
+    rows = rows.where(F.btrim("line", F.lit(" \t\r\f\x0b")) != "").select("doc_id", "text_key", "line_no", _flat(F.col("line")).alias("flat"))
+    rows = rows.select("doc_id", "text_key", "line_no", _masked(F.col("flat")).alias("masked"))
+    tokens = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
     return rows.select(
         "doc_id", "text_key", "line_no", F.unhex(F.md5("masked")).alias("m"), F.xxhash64(tokens, F.substring_index("masked", " ", depth)).alias("leaf")
     )
@@ -47,13 +55,15 @@ def _keyed(docs: DataFrame, min_docs: int, depth: int, agree_tenths: int) -> Dat
     texts = docs.select(F.col("doc_id").alias("own_id"), _text_key().alias("own_key"), "text")
     # one example of each masked form, read back from its document
     forms = seen.join(texts, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key")))
-    forms = forms.select("leaf", "m", "rows", _masked(F.split("text", "\n", -1)[F.col("line_no")]).alias("masked")).dropDuplicates(["m"])
+    forms = forms.select("leaf", "m", "rows", _flat(F.split("text", "\n", -1)[F.col("line_no")]).alias("flat"))
+    forms = forms.select("leaf", "m", "rows", _masked(F.col("flat")).alias("masked")).dropDuplicates(["m"])
     forms = materialize(forms.select("leaf", "m", "rows", F.split("masked", " ").alias("tokens")), "line-forms")
     # the leaf's template: at each position behind the leading tokens the commonest token (the smallest of equals)
     spread = forms.select("leaf", "rows", F.posexplode("tokens").alias("pos", "token")).where(F.col("pos") >= depth)
     common = spread.groupBy("leaf", "pos", "token").agg(F.sum("rows").alias("rows"))
     common = common.groupBy("leaf", "pos").agg(F.min_by("token", F.struct(-F.col("rows"), F.col("token"))).alias("token"))
     template = common.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("template"))
+    template = materialize(template, "leaf-templates")  # a plain table on this side lets a large leaf's forms be split among tasks
     tail = F.slice("tokens", depth + 1, F.greatest(F.size("tokens") - depth, F.lit(0)))
     same = F.size(F.filter(F.zip_with(tail, F.col("template"), lambda a, b: a == b), lambda x: x))
     merged = (
@@ -75,6 +85,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPT
         .where(F.col("docs") >= min_docs)
         .select("key", "first")
     )
+    often = materialize(often, "templates")  # a plain table on this side lets a hot template's lines be split among tasks
     first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))
     return keyed.join(often, "key").where(~first).groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("line_no")).alias("dropped"))
 
