@@ -23,7 +23,7 @@ DIGIT = 24
 BLOCK = 384 << 10
 #: Bytes of text per bucket of the first pass (hashes only) and of the further ones (the bytes that repeat).
 DIGIT_BUCKET = 64 << 20
-BUCKET = 12 << 20
+BUCKET = 6 << 20
 
 
 def _rolling(sums: np.ndarray, width: int) -> np.ndarray:
