@@ -250,7 +250,9 @@ class Model:
         label = ((ids >= 0) & (y[tokens.owner] == 1)).astype(int) if len(texts) else np.zeros(0, int)
         self.field.fit(*self._chains(tokens, ids, label))
         self.link = np.zeros(5)
-        if len(texts) and len(set(y)) == 2:
+        if len(set(y)) < 2:
+            self.link[-1] = -5.0  # nothing learned: no document is called toxic
+        else:
             x = _evidence(*self._decode(tokens)[:3], np.diff(tokens.first))
             weight = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))
             for _ in range(50):  # Newton's method
@@ -341,7 +343,7 @@ def toxicity_scores(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame
     """The `keep` columns with `score` and `toxic_spans` (start, end in code points, chance) of every whole text.
 
     Forward-backward runs over each document as one chain. Null and empty texts have no tokens: their score is that of
-    no evidence. Rows are independent; without training rows every score is one half.
+    no evidence. Rows are independent; without training rows of both labels every score is near zero.
     """
     tune(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
