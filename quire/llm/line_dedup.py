@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize, tune
+from quire.llm.common import discard, materialize, tune
 
 MIN_DOCS = 3
 DEPTH = 3
@@ -58,20 +58,71 @@ def _keyed(docs: DataFrame, min_docs: int, depth: int, agree_tenths: int) -> Dat
     forms = forms.select("leaf", "m", "rows", _flat(F.split("text", "\n", -1)[F.col("line_no")]).alias("flat"))
     forms = forms.select("leaf", "m", "rows", _masked(F.col("flat")).alias("masked")).dropDuplicates(["m"])
     forms = materialize(forms.select("leaf", "m", "rows", F.split("masked", " ").alias("tokens")), "line-forms")
-    # the leaf's template: at each position behind the leading tokens the commonest token (the smallest of equals)
-    spread = forms.select("leaf", "rows", F.posexplode("tokens").alias("pos", "token")).where(F.col("pos") >= depth)
-    common = spread.groupBy("leaf", "pos", "token").agg(F.sum("rows").alias("rows"))
-    common = common.groupBy("leaf", "pos").agg(F.min_by("token", F.struct(-F.col("rows"), F.col("token"))).alias("token"))
-    template = common.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("template"))
-    template = materialize(template, "leaf-templates")  # a plain table on this side lets a large leaf's forms be split among tasks
+    template = materialize(_templates(forms, "leaf", depth), "leaf-templates")  # a plain table on this side lets a large leaf's forms be split among tasks
+    judged = forms.join(template, "leaf").withColumn("agrees", _agrees(depth, agree_tenths))
+    merged = judged.where("agrees").select("m", F.unhex(F.md5(F.concat(F.lit("leaf "), F.col("leaf").cast("string")))).alias("leaf_key"))
+    # a tail so short that no position may differ can follow its own form only
+    tail = F.size("tokens") - depth
+    rest = materialize(judged.where(~F.col("agrees") & (10 * (tail - 1) >= agree_tenths * tail)).select("leaf", "m", "rows", "tokens"), "line-rest")
+    further = _further(rest, min_docs, depth, agree_tenths)
+    merged = merged if further is None else merged.unionByName(further)
+    return lines.join(merged, "m", "left").select("doc_id", "text_key", "line_no", F.coalesce("leaf_key", "m").alias("key"))
+
+
+def _spread(forms: DataFrame, by: str, depth: int) -> DataFrame:
+    """The rows that hold each token at each position behind the leading tokens."""
+    spread = forms.select(by, "rows", F.posexplode("tokens").alias("pos", "token")).where(F.col("pos") >= depth)
+    return spread.groupBy(by, "pos", "token").agg(F.sum("rows").alias("rows"))
+
+
+def _templates(forms: DataFrame, by: str, depth: int) -> DataFrame:
+    """The template of each leaf or group: at each position the commonest token (the smallest of equals)."""
+    common = _spread(forms, by, depth).groupBy(by, "pos").agg(F.min_by("token", F.struct(-F.col("rows"), F.col("token"))).alias("token"))
+    return common.groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("template"))
+
+
+def _agrees(depth: int, agree_tenths: int):
     tail = F.slice("tokens", depth + 1, F.greatest(F.size("tokens") - depth, F.lit(0)))
     same = F.size(F.filter(F.zip_with(tail, F.col("template"), lambda a, b: a == b), lambda x: x))
-    merged = (
-        forms.join(template, "leaf")
-        .where(10 * same >= agree_tenths * (F.size("tokens") - depth))
-        .select("m", F.unhex(F.md5(F.concat(F.lit("leaf "), F.col("leaf").cast("string")))).alias("leaf_key"))
-    )
-    return lines.join(merged, "m", "left").select("doc_id", "text_key", "line_no", F.coalesce("leaf_key", "m").alias("key"))
+    return 10 * same >= agree_tenths * (F.size("tokens") - depth)
+
+
+def _further(rest: DataFrame, min_docs: int, depth: int, agree_tenths: int) -> DataFrame | None:
+    """m and leaf_key of the forms that follow a further template of their leaf; `rest` are those the first one left.
+
+    In each round every group of forms (at first a leaf) gets a template; the forms that do not agree with it go on by
+    their token at one position: of those at which the group differs, the one where these forms differ least, so that mixed
+    templates come apart before a field is split. A group of one form or of too few lines ends. Each round fixes a
+    position, so there are at most as many as a line has tokens, and all groups share a round.
+    """
+    found, old = None, []
+    groups = rest.withColumn("group", F.col("leaf"))
+    while True:
+        large = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("lines")).where((F.col("n") >= 2) & (F.col("lines") >= min_docs))
+        groups = materialize(groups.join(large.select("group"), "group"), "line-groups")
+        for table in old:
+            discard(table)
+        if groups.isEmpty():
+            break
+        template = materialize(_templates(groups, "group", depth), "group-templates")
+        judged = groups.join(template, "group").withColumn("agrees", _agrees(depth, agree_tenths))
+        new = judged.where("agrees").groupBy("leaf", "group", "template").agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("lines"))
+        new = materialize(new.where((F.col("n") >= 2) & (F.col("lines") >= min_docs)).select("leaf", "template", "lines"), "further-templates")
+        found = new if found is None else found.unionByName(new)
+        left = judged.where(~F.col("agrees")).select("leaf", "m", "rows", "tokens", "group")
+        places = judged.select("group", (~F.col("agrees")).cast("long").alias("rows"), "tokens")
+        places = _spread(places, "group", depth).groupBy("group", "pos").agg(F.sum(F.col("rows") * F.col("rows")).alias("weight"), F.count(F.lit(1)).alias("n"))
+        split = places.where(F.col("n") >= 2).groupBy("group").agg(F.min_by("pos", F.struct(-F.col("weight"), F.col("pos"))).alias("pos"))
+        old = [groups, template]
+        groups = left.join(split, "group").withColumn("group", F.xxhash64("group", "pos", F.col("tokens")[F.col("pos")])).drop("pos")
+    if found is None:
+        return None
+    found = found.groupBy("leaf", "template").agg(F.sum("lines").alias("lines"))
+    # of all templates of its leaf that a form agrees with, the one of most lines: a split through a field is undone here
+    pairs = rest.join(found, "leaf").where(_agrees(depth, agree_tenths))
+    best = pairs.groupBy("leaf", "m").agg(F.min_by("template", F.struct(-F.col("lines"), F.col("template"))).alias("template"))
+    key = F.concat(F.lit("leaf "), F.col("leaf").cast("string"), F.lit(" "), F.array_join("template", " "))
+    return materialize(best.select("m", F.unhex(F.md5(key)).alias("leaf_key")), "further-forms")
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, agree_tenths: int = AGREE_TENTHS) -> DataFrame:
@@ -95,8 +146,9 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, ag
 
     Lines (split at line feeds) go down a tree of fixed depth: token count, then the `depth` leading tokens, where a
     token with a digit is a variable field. In a leaf with several forms, the commonest token of each further position
-    makes the leaf's template; forms that agree with it in `agree_tenths` tenths of these positions belong to it, the
-    others are templates of their own. A template that lines of `min_docs` distinct doc_ids follow is dropped everywhere
+    makes the leaf's template; forms that agree with it in `agree_tenths` tenths of these positions belong to it. The
+    others are split further until they share a template (of those they agree with, the one of most lines) or are
+    templates of their own. A template that lines of `min_docs` distinct doc_ids follow is dropped everywhere
     but at its first line (smallest doc_id, then line number), so nothing vanishes from the whole collection.
 
     Returns all columns of `docs` with the new `text`, and n_lines and n_dropped if `counts` (they replace columns of

@@ -86,6 +86,28 @@ def test_line_dedup_templates(spark):
     assert got[10].n_dropped == 0 and got[10].n_lines == 1
 
 
+def test_line_dedup_several_templates_in_a_leaf(spark):
+    names = [f"{a}{b}a" for a in "BDFGKLMNPR" for b in "aeiou"]
+    one = [f"The licence of this page was granted to {n} under the usual terms of use" for n in names]
+    two = [f"The licence of {n} has been withdrawn by the court for good and all now" for n in names[:20]]
+    other = "The licence of all hope is what we two never had at any time"
+    assert {len(t.split()) for t in one + two} == {15}
+    got = {r.doc_id: r.n_dropped for r in line_dedup(table(spark, list(enumerate(one + two)) + [(900, other + " of")]), counts=True).collect()}
+    assert sorted(i for i, n in got.items() if not n) == [0, len(one), 900]
+
+
+def test_line_dedup_mixed_templates(spark):
+    """No form agrees with the commonest tokens of all three templates."""
+    names = [f"{a}{b}a" for a in "BDFGKLMNPR" for b in "ae"]
+    kinds = ["p a a d d d f g g j", "p b a c e e f f h j", "q a b c c d e f g h"]
+    rows = []
+    for k, tail in enumerate(kinds):
+        tail = tail.split()
+        rows += [(100 * k + i, " ".join(["x", "y", "z", *tail[:k], n, *tail[k + 1 :]])) for i, n in enumerate(names)]
+    got = {r.doc_id: r.n_dropped for r in line_dedup(table(spark, rows), counts=True).collect()}
+    assert sorted(i for i, n in got.items() if not n) == [0, 100, 200]
+
+
 def test_line_dedup_counts_documents_and_odd_rows(spark):
     rows = [(1, "a b\na b\na b\na b"), (2, "a b"), *[(i, f"q {c}") for i, c in enumerate("rstuv", 10)]]
     assert all(r.n_dropped == 0 for r in line_dedup(table(spark, rows), counts=True).collect())
