@@ -29,7 +29,7 @@ FALSE_SHARE = 0.01
 _TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_TOKEN)
 _TOKEN_BYTES = tb.byte_table(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
 _HEX_BYTES = tb.byte_table(b"0123456789abcdef")
-#: Alphabets in the order they are tried: the first that holds all characters is the inferred encoding.
+#: Alphabets: the smallest (of equals the first) that holds all characters is the inferred encoding.
 ENCODINGS = (
     ("decimal", "0123456789"),
     ("hex", "0123456789abcdef"),
@@ -39,7 +39,9 @@ ENCODINGS = (
     ("base62", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+    ("upper36", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
 )
+_BY_SIZE = sorted(ENCODINGS, key=lambda e: len(e[1]))
 
 
 def _upper(z: float) -> float:
@@ -62,7 +64,7 @@ def battery(token: str) -> tuple[str, float, float, float] | None:
     Padding at the end is left out; None if no alphabet fits.
     """
     body = token.rstrip("=")
-    for name, alphabet in ENCODINGS:
+    for name, alphabet in _BY_SIZE:
         place = {c: i for i, c in enumerate(alphabet)}
         if body and all(c in place for c in body):
             break

@@ -458,6 +458,17 @@ def test_random_tokens():
         assert ss.random_tokens(f"see {plain} here") == [], plain
 
 
+@pytest.mark.parametrize("name", sorted({e[0] for e in ss.ENCODINGS} | {"upper36"}))
+def test_battery_accepts_random_tokens(name):
+    rng = random.Random(name)
+    for size in (20, 32, 40, 64, 128):
+        tokens = ["".join(rng.choice(dict(ss.ENCODINGS)[name]) for _ in range(size)) for _ in range(200)]
+        joint = [ss._chi_tail(-2 * sum(np.log(max(p, 1e-300)) for p in ss.battery(t)[1:]), 6) for t in tokens]
+        assert np.mean([p >= 0.001 for p in joint]) > 0.95, size
+        if name == "upper36" and size >= 64:  # of shorter ones, fewer differ enough from running text
+            assert np.mean([bool(ss.random_tokens(t)) for t in tokens]) > 0.9, size
+
+
 def test_secret_scan(spark):
     rng = random.Random(4)
     key = "".join(rng.choice(ss.ENCODINGS[5][1]) for _ in range(40))
