@@ -43,11 +43,16 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of each near-duplicate group; repeated rows of it once.
 
-    Rows without an id cannot be named as members of a group and stay.
+    Rows of one id with different texts are judged one by one; rows of one id and text are one document, whatever their
+    other columns. Rows without an id cannot be named as members of a group and stay, all of them.
     """
-    found = near_duplicates(docs.select("doc_id", "text"))
-    dropped = materialize(found.where("doc_id <> component_id").select("doc_id").distinct(), "dropped")
-    return docs.join(dropped, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    keyed = docs.withColumn("__quire_key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    found = near_duplicates(keyed.select("doc_id", "text", "__quire_key"), keep=("__quire_key",))
+    dropped = materialize(found.where("doc_id <> component_id").select("doc_id", "__quire_key").distinct(), "dropped")
+    # a number for each row without id keeps such rows apart
+    keyed = keyed.withColumn("__quire_row", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
+    kept = keyed.join(dropped, ["doc_id", "__quire_key"], "left_anti")
+    return kept.dropDuplicates(["doc_id", "text", "__quire_row"]).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -219,23 +219,23 @@ def _links(nodes: DataFrame, radius: int) -> DataFrame:
     return placed.groupBy("shard", "i", "j").applyInPandas(compare, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One row per document: doc_id, fp (signed long) and component_id.
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, fp (signed long) and component_id, and the `keep` columns last.
 
     Fingerprints of at most `radius` differing bits are linked; component_id is the smallest doc_id reachable over
     links. Copies share a fingerprint and are folded first, so they never meet as pairs. The distinct fingerprints are
     dealt to shards by vantage-point trees; each shard emits a spanning forest of its links, and components are found
     by star contraction. Texts without words (null ones too) have fingerprint zero and are linked like any other.
     Null ids get the component of their fingerprint (null if no row of the component has an id); repeated rows each
-    have a result; an empty table gives an empty result; other columns are ignored.
+    have a result; an empty table gives an empty result; columns not named in `keep` are ignored.
     """
-    prints = materialize(fingerprints(docs, ["doc_id"], shingle), "simhash")
+    prints = materialize(fingerprints(docs, ["doc_id", *keep], shingle), "simhash")
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
     comp = connected_components(_links(nodes, radius))
     rooted = nodes.join(comp, nodes.fp == comp.node, "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
     least = rooted.groupBy("component").agg(F.min("first_id").alias("component_id"))
     verdict = rooted.join(least, "component").select("fp", "component_id")
-    return prints.join(verdict, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(verdict, "fp").select("doc_id", "fp", "component_id", *keep)
 
 
 def fingerprint_hex(fp: str = "fp"):

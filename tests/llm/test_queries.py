@@ -91,3 +91,11 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
     got = corpus_pipeline.run(spark, f"file://{tmp_path}").collect()
     assert sorted([r.doc_id or -1 for r in got]) == [-1, 1, 3, 4]
+
+
+def test_near_dedup_stage_on_repeated_and_missing_ids(spark):
+    one, two = (" ".join(f"{w}{i * i}" for i in range(80)) for w in "ab")
+    rows = [(1, one), (7, one), (7, two), (8, one), (8, one), (None, one), (None, two), (None, two)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup_stage(spark, docs, DATA).collect()]
+    assert sorted(got, key=repr) == sorted([(1, one), (7, two), (None, one), (None, two), (None, two)], key=repr)
