@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import pickle
+import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,11 +19,22 @@ from quire.workers import share_package
 BATCH_BYTES = 4 << 20
 
 
+def named(column: str) -> Column:
+    """A column by its exact name, whatever characters are in it."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a private one only where the session names none."""
+    """The folder that driver and executors share (spark.checkpoint.dir).
+
+    Where the session names none, a private folder serves in local mode, which has one machine; elsewhere that is an error,
+    as executors would write to disks that others cannot read.
+    """
     set_dir = spark.conf.get("spark.checkpoint.dir", None)
     if set_dir:
         return set_dir.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = spark.conf.get("spark.quire.shared.dir", None)
     if own is None:
         own = "file://" + tempfile.mkdtemp(prefix="quire-shared-")
@@ -60,10 +72,18 @@ def discard(table: DataFrame) -> None:
     _tables[table.sparkSession.sparkContext.applicationId].remove(table._quire_path)
 
 
-def discard_all(spark: SparkSession) -> None:
-    """Delete every table this application has materialised; call it when the results have been written."""
+def discard_all(spark: SparkSession, but: Collection[str] = ()) -> None:
+    """Delete every table this application has materialised, those at the paths `but` excepted; call it when the results have been written."""
     for path in _tables.pop(spark.sparkContext.applicationId, []):
-        _delete(spark, path)
+        if path in but:
+            _tables.setdefault(spark.sparkContext.applicationId, []).append(path)
+        else:
+            _delete(spark, path)
+
+
+def tables(spark: SparkSession) -> list[str]:
+    """The paths of the tables this application has materialised and not deleted yet."""
+    return list(_tables.get(spark.sparkContext.applicationId, []))
 
 
 def tune(spark: SparkSession) -> None:
@@ -80,12 +100,18 @@ def map_arrow(
     make: Callable[[], Callable[[pa.RecordBatch], dict[str, pa.Array]]],
     fields: list[tuple[str, T.DataType]],
     keep: list[str],
+    read: tuple[str, ...] = ("text",),
 ) -> DataFrame:
-    """Run `make()` once per task and its result on every Arrow batch; `keep` columns pass through unchanged.
+    """Run `make()` once per task and its result on every Arrow batch of the columns `read`; `keep` columns pass through unchanged.
 
-    The function gets a batch and returns one array per entry of `fields`, row-aligned with the batch.
+    The function gets a batch and returns one array per entry of `fields`, row-aligned with the batch. Columns to keep
+    may have any name; one that has the name of a result gives way to the result.
     """
-    schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(n, t, True) for n, t in fields])
+    results = {n for n, _ in fields}
+    keep = [c for c in dict.fromkeys(keep) if c not in results]
+    inner = [f"__keep_{i}" for i in range(len(keep))]
+    df = df.select(*[named(c).alias(k) for c, k in zip(keep, inner, strict=True)], *[named(c) for c in read])
+    schema = T.StructType([T.StructField(k, df.schema[k].dataType, True) for k in inner] + [T.StructField(n, t, True) for n, t in fields])
     names = [n for n, _ in fields]
     target = {n: to_arrow(t) for n, t in fields}
 
@@ -96,11 +122,11 @@ def map_arrow(
                 continue
             work = work or make()
             out = work(batch)
-            cols = [batch.column(batch.schema.get_field_index(c)) for c in keep]
+            cols = [batch.column(batch.schema.get_field_index(k)) for k in inner]
             cols += [out[n] if isinstance(out[n], pa.Array) else pa.array(out[n], type=target[n]) for n in names]
-            yield pa.RecordBatch.from_arrays(cols, names=[*keep, *names])
+            yield pa.RecordBatch.from_arrays(cols, names=[*inner, *names])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, schema).select(*[F.col(k).alias(c) for c, k in zip(keep, inner, strict=True)], *names)
 
 
 def to_arrow(t: T.DataType) -> pa.DataType:

@@ -192,7 +192,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     def make():
         return lambda batch: _predict(shared.value, batch.column(batch.schema.get_field_index("text")))
 
-    return map_arrow(docs.select(*dict.fromkeys([*keep, "text"])), make, [("lang_pred", T.StringType()), ("score", T.DoubleType())], keep)
+    return map_arrow(docs, make, [("lang_pred", T.StringType()), ("score", T.DoubleType())], keep)
 
 
 def language_id(

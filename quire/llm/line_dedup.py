@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import discard, materialize, tune
+from quire.llm.common import discard, materialize, named, tune
 
 MIN_DOCS = 3
 DEPTH = 3
@@ -173,4 +173,4 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, ag
             "n_dropped": F.when(hit, F.size("__quire_dropped")).otherwise(0).cast("long"),
         }
     text = F.when(hit, F.array_join(F.transform(kept, lambda i: lines[i]), "\n")).otherwise(F.col("text"))
-    return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in cols if c not in extra], *[v.alias(k) for k, v in extra.items()])
+    return joined.select(*[text.alias(c) if c == "text" else named(c) for c in cols if c not in extra], *[v.alias(k) for k, v in extra.items()])

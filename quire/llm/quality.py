@@ -208,7 +208,7 @@ def quality_scores(docs: DataFrame, model: Model | None, keep: list[str]) -> Dat
 
         return work
 
-    return map_arrow(docs.select(*dict.fromkeys([*keep, "text"])), make, [("score", T.DoubleType())], keep)
+    return map_arrow(docs, make, [("score", T.DoubleType())], keep)
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int = 5, fold: int = 0, per_class: int = TRAIN_PER_CLASS) -> DataFrame:

@@ -225,4 +225,4 @@ def secret_scan(docs: DataFrame, keep: list[str], false_share: float = FALSE_SHA
 
         return work
 
-    return map_arrow(docs.select(*dict.fromkeys([*keep, "text"])), make, _FIELDS, keep)
+    return map_arrow(docs, make, _FIELDS, keep)

@@ -329,7 +329,7 @@ def _giants(docs: DataFrame, path: str, chunk: int) -> DataFrame:
     def matrices():
         def work(batch: pa.RecordBatch) -> dict:
             v = vocabulary(path)
-            rows = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            rows = zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("size", "chunk")), strict=True)
             return {"matrix": [transfer(v, path, text, size).tobytes() for size, text in rows]}
 
         return work
@@ -340,7 +340,7 @@ def _giants(docs: DataFrame, path: str, chunk: int) -> DataFrame:
         vectors = entries([np.frombuffer(m, np.int64).reshape(s, s) for m in pdf["matrix"]])
         return pd.DataFrame({"text_key": pdf["text_key"].to_numpy(), "i": pdf["i"].to_numpy(), "entry": [x.tobytes() for x in vectors]})
 
-    made = map_arrow(chunks, matrices, [("matrix", T.BinaryType())], ["text_key", "i"])
+    made = map_arrow(chunks, matrices, [("matrix", T.BinaryType())], ["text_key", "i"], read=("size", "chunk"))
     entered = made.groupBy("text_key").applyInPandas(scan, "text_key string, i long, entry binary")
 
     def traces():
@@ -357,7 +357,7 @@ def _giants(docs: DataFrame, path: str, chunk: int) -> DataFrame:
         return work
 
     ints = T.ArrayType(T.IntegerType())
-    traced = map_arrow(chunks.join(entered, ["text_key", "i"]), traces, [("core", ints), ("tails", T.ArrayType(ints)), ("came", ints)], ["text_key", "i"])
+    traced = map_arrow(chunks.join(entered, ["text_key", "i"]), traces, [("core", ints), ("tails", T.ArrayType(ints)), ("came", ints)], ["text_key", "i"], read=("size", "chunk", "entry"))
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("i")
@@ -380,15 +380,14 @@ def encode(docs: DataFrame, keep: list[str], model: str = MODEL, giant: int = GI
     back on its own from its entry scores; the result is the same. round_trip says that decoding gives the text back.
 
     Null text has null ids, no tokens and the digest of nothing; an empty text has no ids. Rows are independent: repeated
-    rows get equal results, an empty table an empty one. `keep` must not hold the names of results.
+    rows get equal results, an empty table an empty one. A column of `keep` with the name of a result gives way to it.
     """
     tune(docs.sparkSession)
     if chunk < 32:
         raise ValueError("chunk must be 32 at least")
-    cols = list(dict.fromkeys([*keep, "text"]))
     fields = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("round_trip", T.BooleanType())]
     fields += [("ids", T.ArrayType(T.IntegerType()))] if with_ids else []
-    small = docs.select(*cols).where(F.col("text").isNull() | (F.length("text") <= giant))
+    small = docs.where(F.col("text").isNull() | (F.length("text") <= giant))
 
     def words():
         def work(batch: pa.RecordBatch) -> dict:
@@ -398,7 +397,7 @@ def encode(docs: DataFrame, keep: list[str], model: str = MODEL, giant: int = GI
         return work
 
     done = map_arrow(small, words, fields, keep)
-    large = docs.select(*cols).where(F.length("text") > giant)
+    large = docs.where(F.length("text") > giant)
     found = _giants(large, model, chunk)
     large = large.withColumn("__quire_key", F.md5("text")).join(found.select(F.col("text_key").alias("__quire_key"), F.col("ids").alias("__quire_ids")), "__quire_key")
 
@@ -414,7 +413,7 @@ def encode(docs: DataFrame, keep: list[str], model: str = MODEL, giant: int = GI
 
         return work
 
-    return done.unionByName(map_arrow(large, check, fields, keep))
+    return done.unionByName(map_arrow(large, check, fields, keep, read=("text", "__quire_ids")))
 
 
 def decode(tokens: DataFrame, keep: list[str], model: str = MODEL, ids: str = "ids") -> DataFrame:
@@ -429,4 +428,4 @@ def decode(tokens: DataFrame, keep: list[str], model: str = MODEL, ids: str = "i
 
         return work
 
-    return map_arrow(tokens.select(*dict.fromkeys([*keep, ids])), make, [("text", T.StringType())], keep)
+    return map_arrow(tokens, make, [("text", T.StringType())], keep, read=(ids,))

@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, keep: list[str], shingle: int = SHINGLE) -> Da
     def make():
         return lambda batch: {"fp": pa.array(_fingerprints(batch.column(batch.schema.get_field_index("text")), shingle))}
 
-    return map_arrow(docs.select(*dict.fromkeys([*keep, "text"])), make, [("fp", T.LongType())], keep)
+    return map_arrow(docs, make, [("fp", T.LongType())], keep)
 
 
 def _halves(fp: np.ndarray) -> list[np.ndarray]:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm import textblocks as tb
-from quire.llm.common import discard, map_arrow, materialize, tune
+from quire.llm.common import discard, map_arrow, materialize, named, tune
 
 #: Threshold in bytes: repeated strings of this length are removed.
 DEPTH = 50
@@ -370,7 +370,7 @@ def suffix_dedup(docs: DataFrame, keep: list[str], depth: int = DEPTH, with_text
     spans = repeated_spans(docs, depth, **sizes)
     spans = spans.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "end")).alias("__quire_spans"))
     spans = spans.select(F.col("doc_id").alias("__quire_id"), F.col("text_key").alias("__quire_key"), "__quire_spans")
-    cols = list(dict.fromkeys([*keep, "text"]))
+    cols = [named(c) for c in dict.fromkeys([*keep, "text"])]
     rows = docs.select(*cols, F.col("doc_id").cast("long").alias("__quire_own"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("__quire_text"))
     joined = rows.join(spans, (F.col("__quire_own") == F.col("__quire_id")) & (F.col("__quire_text") == F.col("__quire_key")), "left").select(*cols, "__quire_spans")
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
@@ -403,4 +403,4 @@ def suffix_dedup(docs: DataFrame, keep: list[str], depth: int = DEPTH, with_text
 
         return work
 
-    return map_arrow(joined, make, fields, keep)
+    return map_arrow(joined, make, fields, keep, read=("text", "__quire_spans"))

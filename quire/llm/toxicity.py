@@ -356,7 +356,7 @@ def toxicity_scores(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame
         return work
 
     fields = [("score", T.DoubleType()), ("toxic_spans", T.ArrayType(_SPAN))]
-    return map_arrow(docs.select(*dict.fromkeys([*keep, "text"])), make, fields, keep)
+    return map_arrow(docs, make, fields, keep)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, folds: int = 5, fold: int = 0) -> DataFrame:

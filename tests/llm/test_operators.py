@@ -175,6 +175,35 @@ def test_winnowing_guarantee():
             assert chosen & set(grams(part)[dc.winnow(grams(part), 9)])
 
 
+def test_a_short_item_leaves_the_others_alone(spark):
+    """A one-word item must not shorten the grams of the rest; both paths say the same of many hits."""
+    rng = random.Random(9)
+    items = [(i, words(rng, 30)) for i in range(10)] + [(50, "w1"), (51, "w1"), (52, "w2 w3")]
+    rows = [(i, words(rng, 50, 40) + " " + items[i % 10][1]) for i in range(40)]
+    index = dc.Index([i for i, _ in items], [t for _, t in items])
+    assert index.short == (1, 2) and len(index.anchor) < 10 * 18
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    both = [sorted(map(repr, dc.overlap(table(spark, rows), bench, ["doc_id"], max_broadcast_bytes=n).collect())) for n in (0, 1 << 20)]
+    assert both[0] == both[1]
+    got = {r.doc_id: r for r in dc.overlap(table(spark, rows), bench, ["doc_id"]).collect()}
+    assert all((got[i].n_words, got[i].n_hit, got[i].items) == brute_overlap(t, items) for i, t in rows)
+
+
+def test_kept_columns_of_any_name(spark):
+    """Names with dots pass through; a kept column with the name of a result gives way to it."""
+    docs = table(spark, [(1, "a b"), (2, None)]).withColumn("meta.url", F.lit("u")).withColumn("spans", F.lit("s"))
+    bench = spark.createDataFrame([(1, "a")], "item_id long, text string")
+    for limit in (0, 100):
+        got = dc.overlap(docs, bench, ["doc_id", "n_words", "meta.url"], max_broadcast_bytes=limit)
+        assert got.columns == ["doc_id", "meta.url", "n_words", "n_hit", "items", "spans"]
+        assert sorted((r.doc_id, r["meta.url"], r.n_words, r.n_hit) for r in got.collect()) == [(1, "u", 2, 1), (2, "u", 0, 0)]
+    assert ss.secret_scan(docs, ["meta.url", "spans"]).columns[:2] == ["meta.url", "n_assign"]
+    assert {r["meta.url"] for r in sh.fingerprints(docs, ["meta.url"]).collect()} == {"u"}
+    assert suffix_dedup(docs, ["meta.url", "text"]).columns[:2] == ["meta.url", "text"]
+    assert {r["meta.url"] for r in line_dedup(docs).collect()} == {"u"}
+    assert {r["meta.url"] for r in sp.encode(docs, ["meta.url"], giant=1).collect()} == {"u"}
+
+
 # --- suffix dedup
 
 
