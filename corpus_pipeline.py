@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize
-from quire.llm.decontaminate import contaminated, overlap
+from quire.llm.common import discard_all, materialize, named, tables
+from quire.llm.decontaminate import overlap
 from quire.llm.line_dedup import line_dedup
 from quire.llm.sentencepiece_scan import encode
 from quire.llm.simhash import near_duplicates
@@ -23,7 +23,7 @@ from quire.llm.toxicity import fit, toxicity_scores
 def _annotated(docs: DataFrame, annotate: Callable[[DataFrame, list[str]], DataFrame], keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """`annotate` on docs whose columns have names that no result has; `keep` filters; then the names come back."""
     names = [f"__in_{i}" for i in range(len(docs.columns))]
-    shadow = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)], F.col("text").alias("text"))
+    shadow = docs.select(*[named(c).alias(n) for c, n in zip(docs.columns, names, strict=True)], F.col("text").alias("text"))
     kept = keep(annotate(shadow, names))
     return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
 
@@ -52,13 +52,13 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     # a number for each row without id keeps such rows apart
     keyed = keyed.withColumn("__quire_row", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
     kept = keyed.join(dropped, ["doc_id", "__quire_key"], "left_anti")
-    return kept.dropDuplicates(["doc_id", "text", "__quire_row"]).select(*docs.columns)
+    return kept.dropDuplicates(["doc_id", "text", "__quire_row"]).select(*[named(c) for c in docs.columns])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth lies in passages shared with the benchmark."""
+    """Documents that share no passage with the benchmark; one such passage is enough to reject a document of any length."""
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _annotated(docs, lambda d, names: overlap(d, bench, names), lambda d: d.where(~contaminated()))
+    return _annotated(docs, lambda d, names: overlap(d, bench, names), lambda d: d.where("n_hit = 0"))
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,8 +78,10 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of `sf_dir`, each written as Parquet and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = tables(spark)
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard_all(spark, but=[*before, docs._quire_path])  # what the stage made on its way, and the stage before it
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
