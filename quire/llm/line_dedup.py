@@ -35,7 +35,9 @@ def _text_key(text="text"):
 
 def _lines(docs: DataFrame, depth: int) -> DataFrame:
     """One row per line that is not blank: document, line number, masked line's digest and its leaf of the tree."""
-    rows = docs.select("doc_id", _text_key().alias("text_key"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line_no", "line"))
+    # the digest of the text in a step of its own: beside the generator it would be computed for every line
+    rows = docs.select("doc_id", _text_key().alias("text_key"), "text")
+    rows = rows.select("doc_id", "text_key", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line_no", "line"))
     # blank lines are told by the line itself: a filter on the masked form would compute it twice
     rows = rows.where(F.btrim("line", F.lit(" \t\r\f\x0b")) != "").select("doc_id", "text_key", "line_no", _flat(F.col("line")).alias("flat"))
     rows = rows.select("doc_id", "text_key", "line_no", _masked(F.col("flat")).alias("masked"))
@@ -46,17 +48,26 @@ def _lines(docs: DataFrame, depth: int) -> DataFrame:
 
 
 def _keyed(docs: DataFrame, min_docs: int, depth: int, agree_tenths: int) -> DataFrame:
-    """Lines (doc_id, text_key, line_no) with the template `key` each belongs to."""
+    """Lines (doc_id, text_key, line_no) with the template `key` each belongs to; those that cannot recur are left out.
+
+    A template lies within one leaf, so a leaf of fewer than `min_docs` lines is done with at once: its lines stay.
+    """
     lines = materialize(_lines(docs, depth), "lines")
-    # leaves in which there is something to generalise
-    forms = lines.groupBy("leaf", "m").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct("doc_id", "line_no", "text_key")).alias("at"))
-    wide = forms.groupBy("leaf").agg(F.count(F.lit(1)).alias("forms"), F.sum("rows").alias("rows")).where((F.col("forms") >= 2) & (F.col("rows") >= min_docs)).select("leaf")
-    seen = forms.join(wide, "leaf").select("leaf", "m", "rows", F.col("at.doc_id").alias("doc_id"), F.col("at.line_no").alias("line_no"), F.col("at.text_key").alias("text_key"))
+    leaves = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.min("m").alias("low"), F.max("m").alias("high")).where(F.col("n") >= min_docs)
+    live = materialize(lines.join(leaves.select("leaf", (F.col("low") != F.col("high")).alias("several")), "leaf"), "live-lines")
+    discard(lines)
+    # leaves in which there is something to generalise: one example of each masked form is read back from its document
+    seen = live.where("several").groupBy("leaf", "m").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct("doc_id", "text_key", "line_no")).alias("at"))
+    wanted = seen.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.text_key").alias("text_key")).agg(
+        F.collect_list(F.struct(F.col("at.line_no").alias("line_no"), "leaf", "m", "rows")).alias("wanted")
+    )
+    wanted = materialize(wanted, "line-examples")
     texts = docs.select(F.col("doc_id").alias("own_id"), _text_key().alias("own_key"), "text")
-    # one example of each masked form, read back from its document
-    forms = seen.join(texts, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key")))
-    forms = forms.select("leaf", "m", "rows", _flat(F.split("text", "\n", -1)[F.col("line_no")]).alias("flat"))
-    forms = forms.select("leaf", "m", "rows", _masked(F.col("flat")).alias("masked")).dropDuplicates(["m"])
+    found = wanted.join(texts, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key")))
+    found = _with_lines(found.select("wanted", "text"), "text")
+    forms = found.select(F.explode(F.transform("wanted", lambda w: F.struct(w["leaf"], w["m"], w["rows"], F.col("__quire_lines")[w["line_no"]].alias("line")))).alias("form"))
+    forms = forms.select("form.leaf", "form.m", "form.rows", _flat(F.col("form.line")).alias("flat"))
+    forms = forms.select("leaf", "m", "rows", _masked(F.col("flat")).alias("masked")).dropDuplicates(["m"])  # rows of one id and text give an example each
     forms = materialize(forms.select("leaf", "m", "rows", F.split("masked", " ").alias("tokens")), "line-forms")
     template = materialize(_templates(forms, "leaf", depth), "leaf-templates")  # a plain table on this side lets a large leaf's forms be split among tasks
     judged = forms.join(template, "leaf").withColumn("agrees", _agrees(depth, agree_tenths))
@@ -66,7 +77,16 @@ def _keyed(docs: DataFrame, min_docs: int, depth: int, agree_tenths: int) -> Dat
     rest = materialize(judged.where(~F.col("agrees") & (10 * (tail - 1) >= agree_tenths * tail)).select("leaf", "m", "rows", "tokens"), "line-rest")
     further = _further(rest, min_docs, depth, agree_tenths)
     merged = merged if further is None else merged.unionByName(further)
-    return lines.join(merged, "m", "left").select("doc_id", "text_key", "line_no", F.coalesce("leaf_key", "m").alias("key"))
+    return live.join(merged, "m", "left").select("doc_id", "text_key", "line_no", F.coalesce("leaf_key", "m").alias("key"))
+
+
+def _with_lines(rows: DataFrame, text: str) -> DataFrame:
+    """The rows with their text's lines in __quire_lines.
+
+    A generator of one row holds the array as a value of its own; as a plain expression the optimizer would move it into the
+    functions that pick lines, which then split the text once for each line.
+    """
+    return rows.select("*", F.explode_outer(F.array(F.split(text, "\n", -1))).alias("__quire_lines"))
 
 
 def _spread(forms: DataFrame, by: str, depth: int) -> DataFrame:
@@ -160,11 +180,12 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, ag
         F.col("doc_id").alias("__quire_id"), F.col("text_key").alias("__quire_key"), F.col("dropped").alias("__quire_dropped")
     )
     cols = docs.columns
-    lines = F.split("text", "\n", -1)
+    lines = F.col("__quire_lines")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__quire_dropped"))
     joined = docs.withColumn("__quire_own", _text_key()).join(
         drops, F.col("doc_id").eqNullSafe(F.col("__quire_id")) & (F.col("__quire_own") == F.col("__quire_key")), "left"
     )
+    joined = _with_lines(joined, "text")
     hit = F.col("__quire_dropped").isNotNull() & F.col("text").isNotNull()
     extra = {}
     if counts:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -117,6 +118,16 @@ def test_line_dedup_counts_documents_and_odd_rows(spark):
     assert {r.text for r in line_dedup(table(spark, [(i, f"{very_long}\n{c}") for i, c in enumerate("abc")])).collect()} == {f"{very_long}\na", "b", "c"}
 
 
+def test_line_dedup_of_many_lines(spark):
+    """A document of 100,000 lines takes linear time: each text is hashed and split once."""
+    letters = "abcdefghijklmnop"
+    lines = ["".join(letters[j >> k & 15] for k in (0, 4, 8, 12, 16)) + " is a line" for j in range(100_000)]
+    start = time.time()
+    got = {r.doc_id: r for r in line_dedup(table(spark, [(i, "\n".join(lines[i:])) for i in range(3)]), counts=True).collect()}
+    assert [(got[i].n_lines, got[i].n_dropped) for i in range(3)] == [(100_000, 0), (99_999, 99_998), (99_998, 99_998)]
+    assert got[1].text == lines[1] and got[2].text == "" and time.time() - start < 60
+
+
 # --- decontamination
 
 
