@@ -521,6 +521,83 @@ def test_secret_scan(spark):
     assert ss.secret_scan(table(spark, []), ["doc_id"]).count() == 0
 
 
+def planted_secrets(spark, per_encoding=60, size=32):
+    """Documents of the given table with random tokens and joined words planted; where each stands, by document and start."""
+    rng = random.Random(6)
+    texts = [r.text or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").select("text").orderBy("doc_id").collect()]
+    plain = [w for t in texts for w in re.findall("[A-Za-z]+", t) if len(w) < 16]
+    tokens = [(name, "".join(rng.choice(alphabet) for _ in range(size))) for name, alphabet in ss.ENCODINGS for _ in range(per_encoding)]
+    for case in (str.lower, str.upper, str.title):
+        for _ in range(200):
+            at = rng.randrange(len(plain) - 40)
+            tokens.append(("words", "".join(case(w) for w in plain[at : at + 30])[: rng.randrange(20, 40)]))
+    rows, planted = [], {}
+    for i, t in enumerate(texts):
+        rows.append((i, t))
+    for j, (name, token) in enumerate(tokens):
+        i = rng.randrange(len(rows))
+        text = rows[i][1] + "\n\u00e9 auth="
+        planted[i, len(text)] = (name, len(token))
+        rows[i] = (i, f"{text}{token} and so on")
+    return rows, planted
+
+
+@pytest.mark.parametrize(("size", "least"), [(32, 0.7), (40, 0.9)])
+def test_random_tokens_are_found_and_words_are_not(spark, size, least):
+    rows, planted = planted_secrets(spark, size=size)
+    found = ss.secret_scan(table(spark, rows), ["doc_id"]).select("doc_id", F.explode("found").alias("x")).where("x.kind <> 'assign'").collect()
+    got = {(r.doc_id, r.x.start): r.x for r in found}
+    share = {}
+    for at, (name, long) in planted.items():
+        hit = at in got and got[at].end - got[at].start == long
+        share.setdefault(name, []).append(hit)
+    share = {k: np.mean(v) for k, v in share.items()}
+    print(share)
+    for name in ("hex", "HEX", "lower36", "upper36", "base32", "base62", "base64", "base64url"):
+        assert share[name] > (least if name.startswith("base") else 0.9), share
+    false = sum(planted.get((r.doc_id, r.x.start), ("words",))[0] == "words" for r in found if r.x.kind == "random")
+    assert false <= 0.02 * sum(r.x.kind == "random" for r in found) and share["words"] < 0.02
+
+
+def test_secret_scan_equals_plain_version(spark):
+    rows, _ = planted_secrets(spark, 5)
+    rows = [*rows[:300], *ODD]
+    kinds = {"assign": ss.ASSIGN, "access": ss.ACCESS, "hex": "[0-9a-f]+"}
+    least = {"access": 20, "hex": 24}
+    pairs = np.zeros((len(ss._CHARS), len(ss._CHARS)))
+    for _, t in rows:
+        for a, b in zip(t or "", (t or "")[1:], strict=False):
+            if a in ss._CHARS and b in ss._CHARS:
+                pairs[ss._CHARS.index(a), ss._CHARS.index(b)] += 1
+    reference = ss.Reference(pairs)
+    base, tokens, lengths = [], [], []
+    for row, (_, t) in enumerate(rows):
+        mine = []
+        for n, (kind, pattern) in enumerate(kinds.items()):
+            for m in re.finditer(pattern, t or "", re.IGNORECASE | re.ASCII if kind == "assign" else 0):
+                if len(m[2]) >= 6 if kind == "assign" else len(m[0]) >= least[kind]:
+                    mine.append((m.start(), n, m.end(), kind))
+        base.append(sorted(mine))
+        blank = "".join(" " if any(a <= i < e for a, _, e, _ in mine) else c for i, c in enumerate(t or "")) if mine else t or ""
+        found, tested, total = ss._candidates(blank, reference)
+        tokens += [(score, row, s, e) for score, s, e, _ in found]
+        lengths += [total / tested] * tested if tested else []
+    tokens.sort()
+    best = -1
+    for i, (score, *_) in enumerate(tokens, 1):  # the step-up rule, on scores rounded up to its bins
+        if (ss._bin(score) + 1) / ss.BINS + np.log(np.mean(lengths)) <= np.log(ss.FALSE_SHARE * sum(ss._bin(t[0]) <= ss._bin(score) for t in tokens) / len(lengths)):
+            best = max(best, i)
+    random_ = {}
+    for _, row, s, e in tokens[: max(best, 0)]:
+        random_.setdefault(row, []).append((s, 3, e, "random"))
+    want = []
+    for row, (i, _) in enumerate(rows):
+        joined = lambda x: ",".join(f"{kind}:{s}:{e}" for s, _, e, kind in sorted(x))
+        want.append((i or -1, hashlib.sha256(joined(base[row]).encode()).hexdigest(), joined(base[row] + random_.get(row, []))))
+    got = ss.secret_scan(table(spark, rows), ["doc_id"]).collect()
+    assert sorted((r.doc_id or -1, r.base_sha256, r.spans) for r in got) == sorted(want) and any("random" in w[2] for w in want)
+
+
 def test_suspects_miss_no_match():
     texts = ["a TOKEN: abcdefg", "x" * 19, "0" * 24, "AKIA" + "A" * 16, "ApiKey='abcdef'", "nothing", None, ""]
     marks = ss._suspects(*tb.buffer(pa.array(texts)))
