@@ -24,6 +24,9 @@ BLOCK = 384 << 10
 #: Bytes of text per bucket of the first pass (hashes only) and of the further ones (the bytes that repeat).
 DIGIT_BUCKET = 64 << 20
 BUCKET = 6 << 20
+#: A first digit that more than HOT blocks hold is folded by groups of FAN blocks, level by level, before all of it meets.
+HOT = 64
+FAN = 64
 
 
 def _rolling(sums: np.ndarray, width: int) -> np.ndarray:
@@ -164,13 +167,14 @@ def _open(row: dict, depth: int, digit: int) -> tuple[Suffixes, np.ndarray, np.n
     return Suffixes(data, np.concatenate([[0], np.cumsum(lengths)]), depth, digit), np.array(row["ids"], np.int64), np.array(row["starts"], np.int64)
 
 
-def _dealt(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct grams ordered by bucket, and the bounds of each bucket."""
+def _dealt(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct grams ordered by bucket, the buckets that hold any, and their bounds."""
     unique = np.sort(grams)
     unique = unique[np.concatenate([[True], unique[1:] != unique[:-1]])] if len(unique) else unique
     bucket = (unique % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    return unique[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
+    used, first = np.unique(bucket[order], return_index=True)
+    return unique[order], used, np.append(first, len(unique))
 
 
 def _shared_digits(blocks: DataFrame, buckets: int, depth: int, digit: int) -> DataFrame:
@@ -183,25 +187,27 @@ def _shared_digits(blocks: DataFrame, buckets: int, depth: int, digit: int) -> D
         for batch in batches:
             for row in _rows(batch):
                 s, ids, _ = _open(row, depth, digit)
-                grams, bounds = _dealt(s.gram, buckets)
+                grams, used, bounds = _dealt(s.gram, buckets)
                 short = (grams // np.uint64(buckets) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-                whole = {}
-                for i, k in enumerate(row["copy_keys"]):
-                    if k:
-                        whole.setdefault(int.from_bytes(k[:8], "little") % buckets, []).append(i)
-                out = [[], [], [], [], [], []]
-                for b in range(buckets):
+                held = {int(b): (bounds[i], bounds[i + 1]) for i, b in enumerate(used)}
+                whole: dict[int, list[tuple[bytes, int]]] = {}
+                for k, least in _least_copies(row["copy_keys"], ids).items():
+                    whole.setdefault(int.from_bytes(k[:8], "little") % buckets, []).append((k, least))
+                out = [[], [], [], [], []]
+                for b in sorted(held.keys() | whole.keys()):  # occupied buckets only
+                    lo, hi = held.get(b, (0, 0))
                     mine = whole.get(b, [])
-                    if bounds[b + 1] > bounds[b] or mine:
-                        values = (b, row["block"], short[bounds[b] : bounds[b + 1]].tobytes(), b"".join(row["copy_keys"][i] for i in mine), ids[mine].tobytes(), np.array(mine, np.int32).tobytes())
-                        for o, v in zip(out, values, strict=True):
-                            o.append(v)
+                    values = (b, row["block"], short[lo:hi].tobytes(), b"".join(k for k, _ in mine), np.array([i for _, i in mine], np.int64).tobytes())
+                    for o, v in zip(out, values, strict=True):
+                        o.append(v)
                 if out[0]:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), *[pa.array(o, pa.binary()) for o in out[2:]]],
-                        names=["bucket", "block", "digits", "copy_keys", "ids", "places"],
+                        names=["bucket", "block", "digits", "copy_keys", "ids"],
                     )
 
+    hot = HOT
+
     def match(pdf: pd.DataFrame) -> pd.DataFrame:
         sizes = np.array([len(x) // 4 for x in pdf["digits"]])
         every = np.frombuffer(b"".join(pdf["digits"]), np.uint32)
@@ -209,53 +215,117 @@ def _shared_digits(blocks: DataFrame, buckets: int, depth: int, digit: int) -> D
         d = every[order]
         equal = np.zeros(len(d) + 1, bool)
         equal[1:-1] = d[1:] == d[:-1]
+        new = ~equal[:-1]
+        many = np.diff(np.append(np.flatnonzero(new), len(d)))
         flag = np.zeros(len(d), bool)
         flag[order] = equal[1:] | equal[:-1]
+        wide = np.zeros(len(d), bool)
+        wide[order] = np.repeat(many > hot, many)
         cuts = np.concatenate([[0], np.cumsum(sizes)])
         least: dict[bytes, int] = {}
         rows = []
-        for keys, ids, places in zip(pdf["copy_keys"], pdf["ids"], pdf["places"], strict=True):
-            own = [(keys[16 * i : 16 * i + 16], d_, p) for i, (d_, p) in enumerate(zip(np.frombuffer(ids, np.int64).tolist(), np.frombuffer(places, np.int32).tolist(), strict=True))]
+        for keys, ids in zip(pdf["copy_keys"], pdf["ids"], strict=True):
+            own = [(keys[16 * i : 16 * i + 16], d_) for i, d_ in enumerate(np.frombuffer(ids, np.int64).tolist())]
             rows.append(own)
-            for k, d_, _ in own:
+            for k, d_ in own:
                 least[k] = min(least.get(k, d_), d_)
-        return pd.DataFrame(
+        bits = lambda f, i: np.packbits(f[cuts[i] : cuts[i + 1]]).tobytes() if f[cuts[i] : cuts[i + 1]].any() else b""
+        found = pd.DataFrame(
             {
                 "block": pdf["block"].to_numpy(),
                 "bucket": pdf["bucket"].to_numpy(),
-                "shared": [np.packbits(flag[cuts[i] : cuts[i + 1]]).tobytes() for i in range(len(sizes))],
-                "copies": [np.array([p for k, d_, p in own if d_ > least[k]], np.int32).tobytes() for own in rows],
+                "shared": [bits(flag, i) for i in range(len(sizes))],
+                "hot": [bits(wide, i) for i in range(len(sizes))],
+                "copies": [b"".join(k for k, d_ in own if d_ > least[k]) for own in rows],
             }
         )
-
-    rows = blocks.mapInArrow(emit, "bucket int, block long, digits binary, copy_keys binary, ids binary, places binary")
-    return rows.groupBy("bucket").applyInPandas(match, "block long, bucket int, shared binary, copies binary")
-
-
-_RANGES = "block long, piece int, start long, end long"
-_MOVED = [("bucket", pa.int32()), ("block", pa.int64()), ("data", pa.binary()), ("size", pa.binary()), ("ids", pa.binary()), ("piece", pa.binary()), ("start", pa.binary()), ("found", pa.binary())]
-
-
-def _repeats(blocks: DataFrame, shared: DataFrame, digit_buckets: int, buckets: int, depth: int, digit: int) -> DataFrame:
+        return found[(found["shared"] != b"") | (found["copies"] != b"")]
+
+    rows = blocks.mapInArrow(emit, "bucket int, block long, digits binary, copy_keys binary, ids binary")
+    return rows.groupBy("bucket").applyInPandas(match, "block long, bucket int, shared binary, hot binary, copies binary")
+
+
+def _least_copies(keys: list[bytes], ids: np.ndarray) -> dict[bytes, int]:
+    """The smallest document of each whole text of a block; those above it are copies whatever the other blocks hold."""
+    least: dict[bytes, int] = {}
+    for k, i in zip(keys, ids.tolist(), strict=True):
+        if k:
+            least[k] = min(least.get(k, i), i)
+    return least
+
+
+#: Ranges that repeat (the first four), and windows that no smaller document in reach holds, which go on to the next level.
+_RANGES = "block long, piece int, start long, end long, bucket int, salt int, data binary, size binary, ids binary, pieces binary, starts binary"
+_MOVED = [
+    ("bucket", pa.int32()), ("salt", pa.int32()), ("block", pa.int64()), ("data", pa.binary()), ("size", pa.binary()), ("ids", pa.binary()), ("pieces", pa.binary()), ("starts", pa.binary()), ("found", pa.binary()),
+]
+
+
+def _strings(data: np.ndarray, a: np.ndarray, size: np.ndarray) -> bytes:
+    """The bytes of all data[a : a + size], one behind the other."""
+    return data[np.repeat(a - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))].tobytes()
+
+
+def _compare(pdf: pd.DataFrame, depth: int, last: bool) -> pd.DataFrame:
+    """Settle the windows of one bucket (or of a group of blocks in it): ranges of those that repeat, and the rest if not `last`."""
+    join = lambda c, t: np.frombuffer(b"".join(pdf[c]), t)
+    data, size, ids, piece, start = join("data", np.uint8), join("size", np.int32).astype(np.int64), join("ids", np.int64), join("pieces", np.int32), join("starts", np.int64)
+    block = np.repeat(pdf["block"].to_numpy(), [len(x) // 4 for x in pdf["size"]])
+    begin = np.cumsum(size) - size
+    many = size - depth + 1
+    run = np.repeat(np.arange(len(size)), many)
+    at = np.arange(len(run)) - np.repeat(np.cumsum(many) - many, many) + begin[run]
+    done = smaller(data, tb.prefix(data), at, ids[run], depth)
+    r, a, b = _ranges(at[done], run[done], depth)
+    out = {"block": [block[r]], "piece": [piece[r]], "start": [a - begin[r] + start[r]], "end": [b - begin[r] + start[r]]}
+    if "found" in pdf:
+        known = join("found", np.int64).reshape(-1, 3)
+        out["block"].append(np.repeat(pdf["block"].to_numpy(), [len(x) // 24 for x in pdf["found"]]))
+        for c, name in enumerate(("piece", "start", "end")):
+            out[name].append(known[:, c])
+    settled = pd.DataFrame({k: np.concatenate(v).astype(np.int32 if k == "piece" else np.int64) for k, v in out.items()})
+    if last or done.all():
+        return settled.reindex(columns=[c.split()[0] for c in _RANGES.split(", ")]).astype(object).where(lambda x: x.notna(), None)
+    r, a, b = _ranges(at[~done], run[~done], depth)
+    order = np.argsort(block[r], kind="stable")
+    r, a, b = r[order], a[order], b[order]
+    cuts = np.flatnonzero(np.concatenate([[True], block[r][1:] != block[r][:-1], [True]]))
+    rest = []
+    for i, j in zip(cuts, cuts[1:], strict=False):
+        q, s, z = r[i:j], a[i:j], b[i:j] - a[i:j]
+        rest.append((
+            int(block[q[0]]), int(pdf["bucket"].iloc[0]), int(pdf["salt"].iloc[0]), _strings(data, s, z), z.astype(np.int32).tobytes(), ids[q].tobytes(), piece[q].astype(np.int32).tobytes(), (s - begin[q] + start[q]).tobytes(),
+        ))
+    rest = pd.DataFrame(rest, columns=["block", "bucket", "salt", "data", "size", "ids", "pieces", "starts"])
+    both = pd.concat([settled.astype(object), rest.astype(object)], ignore_index=True)
+    return both.reindex(columns=[c.split()[0] for c in _RANGES.split(", ")]).astype(object).where(lambda x: x.notna(), None)
+
+
+def _repeats(blocks: DataFrame, shared: DataFrame, digit_buckets: int, buckets: int, salts: int, depth: int, digit: int) -> DataFrame:
     """Further passes: ranges of pieces that repeat a document of smaller id.
 
     Windows of a shared first digit are settled inside their block where it can be done; of the rest, the bytes move to
-    the digit's bucket as runs of neighbouring windows, and are settled there.
+    the digit's bucket as runs of neighbouring windows, and are settled there; those of a hot digit to one of `salts`
+    groups of blocks of its bucket, where all but the first of each are settled and the first ones are left.
     """
-    flags = shared.groupBy("block").agg(F.collect_list(F.struct("bucket", "shared", "copies")).alias("flags"))
+    flags = shared.groupBy("block").agg(F.collect_list(F.struct("bucket", "shared", "hot", "copies")).alias("flags"))
 
     def settle(batches):
         for batch in batches:
             for row in _rows(batch):
                 s, ids, starts = _open(row, depth, digit)
-                grams, bounds = _dealt(s.gram, digit_buckets)
-                marked = np.zeros(len(grams), bool)
-                copy = np.zeros(len(ids), bool)
+                grams, used, bounds = _dealt(s.gram, digit_buckets)
+                place_of = {int(b): i for i, b in enumerate(used)}
+                marked, hot = np.zeros(len(grams), bool), np.zeros(len(grams), bool)
+                taken: set[bytes] = set()
                 for f in row["flags"] or []:
-                    b = f["bucket"]
-                    n = bounds[b + 1] - bounds[b]
-                    marked[bounds[b] : bounds[b + 1]] = np.unpackbits(np.frombuffer(f["shared"], np.uint8), count=n).astype(bool)
-                    copy[np.frombuffer(f["copies"], np.int32)] = True
+                    i = place_of.get(f["bucket"])
+                    for bits, to in ((f["shared"], marked), (f["hot"], hot)):
+                        if bits:
+                            to[bounds[i] : bounds[i + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=bounds[i + 1] - bounds[i]).astype(bool)
+                    taken |= {f["copies"][j : j + 16] for j in range(0, len(f["copies"]), 16)}
+                least = _least_copies(row["copy_keys"], ids)
+                copy = np.array([bool(k) and (k in taken or i > least[k]) for k, i in zip(row["copy_keys"], ids.tolist(), strict=True)], bool)
                 # a text of several pieces is a copy as a whole
                 whole = {row["keys"][i] + ids[i].tobytes() for i in np.flatnonzero(copy)}
                 copy |= np.array([k + i.tobytes() in whole for k, i in zip(row["keys"], ids, strict=True)], bool) if whole else False
@@ -284,52 +354,44 @@ def _repeats(blocks: DataFrame, shared: DataFrame, digit_buckets: int, buckets:
                     first = np.flatnonzero(new)
                     last = np.append(first[1:], len(w)) - 1
                     bucket = (s.gram[s.anchor[w[first]]] % np.uint64(buckets)).astype(np.int64)
+                    bucket = 2 * bucket + hot[place][s.anchor[w[first]]]
                     by = np.argsort(bucket, kind="stable")
                     bucket, first, last = bucket[by], first[by], last[by]
                     a, size = s.at[w[first]], s.at[w[last]] + depth - s.at[w[first]]
                     piece = s.doc[w[first]]
-                    cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-                    for b in range(buckets):
-                        i, j = cuts[b], cuts[b + 1]
-                        if j > i:
-                            many = size[i:j]
-                            pick = np.repeat(a[i:j] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-                            values = (
-                                b, row["block"], s.data[pick].tobytes(), many.astype(np.int32).tobytes(), ids[piece[i:j]].tobytes(), piece[i:j].astype(np.int32).tobytes(),
-                                (a[i:j] - begin[piece[i:j]] + starts[piece[i:j]]).tobytes(), b"",
-                            )
-                            for o, v in zip(out, values, strict=True):
-                                o.append(v)
+                    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+                    salt = int(tb.mix(np.array([row["block"]], np.uint64))[0]) % salts
+                    for i, j in zip(cuts, cuts[1:], strict=False):
+                        b, q = int(bucket[i]), piece[i:j]
+                        values = (
+                            b >> 1, salt if b & 1 else -1, row["block"], _strings(s.data, a[i:j], size[i:j]), size[i:j].astype(np.int32).tobytes(), ids[q].tobytes(), q.astype(np.int32).tobytes(),
+                            (a[i:j] - begin[q] + starts[q]).tobytes(), b"",
+                        )
+                        for o, v in zip(out, values, strict=True):
+                            o.append(v)
                 if len(found):
-                    for o, v in zip(out, (row["block"] % buckets, row["block"], b"", b"", b"", b"", b"", found.tobytes()), strict=True):
+                    for o, v in zip(out, (row["block"] % buckets, -1, row["block"], b"", b"", b"", b"", b"", found.tobytes()), strict=True):
                         o.append(v)
                 if out[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, (_, t) in zip(out, _MOVED, strict=True)], names=[n for n, _ in _MOVED])
 
-    moved = blocks.join(flags, "block", "left").mapInArrow(settle, "bucket int, block long, data binary, size binary, ids binary, piece binary, start binary, found binary")
+    kinds = {pa.int32(): "int", pa.int64(): "long", pa.binary(): "binary"}
+    moved = blocks.join(flags, "block", "left").mapInArrow(settle, ", ".join(f"{n} {kinds[t]}" for n, t in _MOVED))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        join = lambda c, t: np.frombuffer(b"".join(pdf[c]), t)
-        data, size, ids, piece, start = join("data", np.uint8), join("size", np.int32).astype(np.int64), join("ids", np.int64), join("piece", np.int32), join("start", np.int64)
-        block = np.repeat(pdf["block"].to_numpy(), [len(x) // 4 for x in pdf["size"]])
-        known = join("found", np.int64).reshape(-1, 3)
-        known_block = np.repeat(pdf["block"].to_numpy(), [len(x) // 24 for x in pdf["found"]])
-        begin = np.cumsum(size) - size
-        many = size - depth + 1
-        run = np.repeat(np.arange(len(size)), many)
-        at = np.arange(len(run)) - np.repeat(np.cumsum(many) - many, many) + begin[run]
-        done = smaller(data, tb.prefix(data), at, ids[run], depth)
-        r, a, b = _ranges(at[done], run[done], depth)
-        return pd.DataFrame(
-            {
-                "block": np.concatenate([known_block, block[r]]),
-                "piece": np.concatenate([known[:, 0], piece[r]]).astype(np.int32),
-                "start": np.concatenate([known[:, 1], a - begin[r] + start[r]]),
-                "end": np.concatenate([known[:, 2], b - begin[r] + start[r]]),
-            }
-        )
+        return _compare(pdf, depth, pdf["salt"].iloc[0] < 0)
+
+    return moved.groupBy("bucket", "salt").applyInPandas(compare, _RANGES)
+
+
+def _folded(ranges: DataFrame, salts: int, depth: int) -> DataFrame:
+    """One level up: what FAN groups of blocks have left of the hot digits meets; in the last level (one group) all is settled."""
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _compare(pdf, depth, salts == 1)
 
-    return moved.groupBy("bucket").applyInPandas(compare, _RANGES)
+    left = ranges.where(F.col("data").isNotNull()).select("block", "bucket", (F.col("salt") % salts).alias("salt"), "data", "size", "ids", "pieces", "starts")
+    return left.groupBy("bucket", "salt").applyInPandas(compare, _RANGES)
 
 
 def repeated_spans(docs: DataFrame, depth: int = DEPTH, digit: int = DIGIT, block: int = BLOCK, digit_bucket: int = DIGIT_BUCKET, bucket: int = BUCKET) -> DataFrame:
@@ -338,6 +400,8 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, digit: int = DIGIT, bloc
     Ranges of one document may overlap or touch. text_key is the MD5 of the text; rows without an id have no ranges.
     """
     tune(docs.sparkSession)
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        raise ValueError("doc_id must be an integer column")
     if not 8 <= digit <= depth // 2 or depth < 16:
         raise ValueError("depth must be 16 at least and digit 8 to half the depth")
     docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
@@ -345,8 +409,15 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, digit: int = DIGIT, bloc
     total = blocks.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0]
     digit_buckets, buckets = max(8, -(-total // digit_bucket)), max(8, -(-total // bucket))
     shared = materialize(_shared_digits(blocks, digit_buckets, depth, digit), "digits")
-    ranges = materialize(_repeats(blocks, shared, digit_buckets, buckets, depth, digit), "ranges")
+    salts = -(-blocks.count() // FAN)
+    ranges = materialize(_repeats(blocks, shared, digit_buckets, buckets, salts, depth, digit), "ranges")
     discard(shared)
+    level, bounds = ranges, ["block", "piece", "start", "end"]
+    ranges = ranges.where(F.col("data").isNull()).select(*bounds)
+    while not level.where(F.col("data").isNotNull()).isEmpty():
+        salts = -(-salts // FAN)
+        level = materialize(_folded(level, salts, depth), "hot-ranges")
+        ranges = ranges.unionByName(level.where(F.col("data").isNull()).select(*bounds))
     named = blocks.select("block", F.posexplode(F.arrays_zip("ids", "keys")).alias("piece", "doc"))
     return ranges.join(named, ["block", "piece"]).select(F.col("doc.ids").alias("doc_id"), F.col("doc.keys").alias("text_key"), "start", "end")
 
@@ -361,8 +432,9 @@ def suffix_dedup(docs: DataFrame, keep: list[str], depth: int = DEPTH, with_text
     The windows of all documents are sorted only as deep as `depth`, most significant digit first. The first digit is the
     gram of smallest hash inside the window, so neighbouring windows share it and few digits stand for all windows; its
     pass moves hashes only and leaves out every window whose digit is unique. The further digits are compared in the
-    digit's bucket, where equal groups are exactly the repeated windows. Copies of a whole text are found in the first
-    pass. Each block of texts folds its own repeats before anything moves.
+    digit's bucket, where equal groups are exactly the repeated windows; a digit that many blocks hold is first folded by
+    groups of blocks, where one of each window is left. Copies of a whole text are found in the first pass. Each block of
+    texts folds its own repeats and copies before anything moves.
 
     Null text is empty. Rows with null id are returned whole and nobody's repeats count against them. Rows of equal ids
     don't count as smaller; repeated rows get equal results. An empty table gives an empty result.
