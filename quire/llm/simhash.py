@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -11,16 +13,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm import textblocks as tb
-from quire.llm.common import map_arrow, materialize, tune
+from quire.llm.common import discard, map_arrow, materialize, tune
 from quire.llm.components import connected_components
 
 SHINGLE = 3
 SEED = 42
 RADIUS = 3
-#: Distinct fingerprints that the shard trees are built from, at most.
+#: Distinct fingerprints that the upper trees are built from, at most, and the leaves they have, about, where there are trees below them.
 TREE_SAMPLE = 1 << 15
-#: Distinct fingerprints a shard should hold.
+TOP_LEAVES = 1 << 10
+#: Distinct fingerprints a shard should hold, the points of a sample that stand for them in a lower tree, and the most leaves of
+#: all lower trees together, about (32 bytes each are sent to the tasks); beyond that, shards hold more.
 SHARD = 8192
+LEAF_SAMPLE = 32
+MAX_LEAVES = 1 << 20
+#: Rows that a task compares, about.
+TASK_ROWS = 1 << 15
+#: Shards over MAX_SHARD rows whose numbers are sent to every task, at most; more are joined.
+MAX_LARGE = 100_000
 #: A shard beyond this many rows is compared in blocks by several tasks.
 MAX_SHARD = 1 << 16
 #: Rows below which a task stops splitting its shard and compares all.
@@ -112,6 +122,40 @@ class Tree:
             self._grow(points, smallest, rng, 40)
         if not self.vantage:
             self.leaves = 1
+        self._freeze()
+
+    def _freeze(self) -> None:
+        self.vantage, self.radius = np.array(self.vantage, np.uint32), np.array(self.radius, np.int64)
+        self.child = np.array(self.child, np.int64).reshape(-1, 2)
+
+    def graft(self, lower: dict[int, Tree]) -> None:
+        """Put a tree in the place of each leaf that `lower` has one for."""
+        vantage, radius, child = [self.vantage], [self.radius], [self.child.copy()]
+        nodes, leaves = len(self.vantage), 0
+
+        def below(leaf: int) -> int:
+            nonlocal nodes, leaves
+            tree = lower.get(leaf)
+            if tree is None or not len(tree.vantage):
+                leaves += 1
+                return -leaves
+            root = nodes
+            vantage.append(tree.vantage)
+            radius.append(tree.radius)
+            child.append(np.where(tree.child < 0, tree.child - leaves, tree.child + root))
+            nodes += len(tree.vantage)
+            leaves += tree.leaves
+            return root
+
+        top = child[0]
+        for at in range(len(top)):
+            for side in (0, 1):
+                if top[at, side] < 0:
+                    top[at, side] = below(int(-1 - top[at, side]))
+        if not len(top):
+            below(0)
+        self.vantage, self.radius, self.child = np.concatenate(vantage), np.concatenate(radius), np.concatenate(child)
+        self.leaves = leaves
 
     def _grow(self, points: np.ndarray, smallest: int, rng: np.random.Generator, depth: int) -> int:
         split = _vantage(points, self.reach, rng) if len(points) > smallest and depth else None
@@ -131,8 +175,8 @@ class Tree:
         """Index into `points`, leaf and whether it is a copy, for each place a point goes to."""
         n = len(points)
         idx, copy = np.arange(n), np.zeros(n, bool)
-        node = np.full(n, 0 if self.vantage else -1)
-        vantage, radius, child = np.array(self.vantage, np.uint32), np.array(self.radius, int), np.array(self.child, int).reshape(-1, 2)
+        node = np.full(n, 0 if len(self.vantage) else -1)
+        vantage, radius, child = self.vantage, self.radius, self.child
         done = []
         while len(idx):
             leaf = node < 0
@@ -184,14 +228,44 @@ def _shard_edges(fp: np.ndarray, half: np.ndarray, home: np.ndarray, radius: int
     return _spanning(fp, radius)
 
 
+def _forest(nodes: DataFrame, total: int, reach: int) -> list[Tree]:
+    """The shard trees of the two halves.
+
+    The upper trees are built from a bounded sample. Where that is too small to tell all shards apart, a lower tree is
+    built for each of their leaves, in a task of its own, from a sample of a fixed share of all fingerprints.
+    """
+    sample = np.array([r.fp for r in nodes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()], np.int64)
+    shard = max(SHARD, -(-total // MAX_LEAVES))
+    trees = [Tree(h, reach, max(4, int(max(shard, total / TOP_LEAVES) * len(sample) / max(total, 1)))) for h in _halves(sample)]
+    if total <= shard * TOP_LEAVES:
+        return trees
+    upper = nodes.sparkSession.sparkContext.broadcast(trees)
+
+    def place(batches):
+        for batch in batches:
+            for side, (tree, half) in enumerate(zip(upper.value, _halves(batch.column(0).to_numpy()), strict=True)):
+                at, leaf, copy = tree.route(half)
+                yield pa.RecordBatch.from_arrays([pa.array(half[at[~copy]].astype(np.int64)), pa.array((leaf[~copy] * 2 + side).astype(np.int64))], names=["half", "shard"])
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        tree = Tree(pdf["half"].to_numpy().astype(np.uint32), reach, LEAF_SAMPLE)
+        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "tree": [pickle.dumps(tree)]})
+
+    some = nodes.select("fp").where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int(min(1.0, LEAF_SAMPLE / shard) * (1 << 30)))
+    grown = some.mapInArrow(place, "half long, shard long").groupBy("shard").applyInPandas(grow, "shard long, tree binary")
+    lower: list[dict[int, Tree]] = [{}, {}]
+    for r in grown.collect():  # about MAX_LEAVES leaves at most
+        lower[r.shard & 1][r.shard >> 1] = pickle.loads(r.tree)
+    for tree, below in zip(trees, lower, strict=True):
+        tree.graft(below)
+    return trees
+
+
 def _links(nodes: DataFrame, radius: int) -> DataFrame:
     """Edges (u, v) between distinct fingerprints (column fp) that connect all pairs of at most `radius` differing bits."""
     spark = nodes.sparkSession
     reach = radius // 2  # of two halves, one differs in at most half of the bits
-    total = nodes.count()
-    sample = np.array([r.fp for r in nodes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()], np.int64)
-    smallest = max(4, int(SHARD * len(sample) / max(total, 1)))
-    trees = spark.sparkContext.broadcast([Tree(h, reach, smallest) for h in _halves(sample)])
+    trees = spark.sparkContext.broadcast(_forest(nodes, nodes.count(), reach))
 
     def route(batches):
         for batch in batches:
@@ -200,11 +274,13 @@ def _links(nodes: DataFrame, radius: int) -> DataFrame:
                 at, leaf, copy = tree.route(half)
                 yield pa.RecordBatch.from_arrays([pa.array(fp[at]), pa.array((leaf * 2 + side).astype(np.int64)), pa.array(~copy)], names=["fp", "shard", "home"])
 
-    routed = nodes.select("fp").mapInArrow(route, "fp long, shard long, home boolean")
-    # at most two rows for every leaf, and the trees have at most TREE_SAMPLE leaves
+    routed = materialize(nodes.select("fp").mapInArrow(route, "fp long, shard long, home boolean"), "simhash-shards")
     sizes = routed.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("rows") / MAX_SHARD)).cast("int")
-    placed = routed.join(F.broadcast(sizes), "shard").select("fp", "shard", "home", blocks.alias("blocks"), F.pmod(F.xxhash64("fp"), blocks).cast("int").alias("block"))
+    large = materialize(sizes.where(F.col("rows") > MAX_SHARD).select("shard", F.ceil(F.col("rows") / MAX_SHARD).cast("int").alias("blocks")), "simhash-large")
+    many = large.count()
+    blocks = F.coalesce("blocks", F.lit(1))
+    placed = routed.join(F.broadcast(large) if many <= MAX_LARGE else large, "shard", "left") if many else routed.withColumn("blocks", F.lit(1))
+    placed = placed.select("fp", "shard", "home", blocks.alias("blocks"), F.pmod(F.xxhash64("fp"), blocks).cast("int").alias("block"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select("fp", "shard", "home", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
 
@@ -216,7 +292,11 @@ def _links(nodes: DataFrame, radius: int) -> DataFrame:
         e = np.array(_shard_edges(u, _halves(fp)[side], pdf["home"].to_numpy(), radius, reach, rng), np.int64).reshape(-1, 2)
         return pd.DataFrame({"u": fp[e[:, 0]], "v": fp[e[:, 1]]})
 
-    return placed.groupBy("shard", "i", "j").applyInPandas(compare, "u long, v long")
+    # the work follows the rows, which are small: partitions by rows, not merged by their bytes
+    placed = placed.repartition(max(1, routed.count() // TASK_ROWS), "shard", "i", "j")
+    edges = placed.groupBy("shard", "i", "j").applyInPandas(compare, "u long, v long")
+    edges._quire_uses = [routed, large]
+    return edges
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -231,7 +311,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     """
     prints = materialize(fingerprints(docs, ["doc_id", *keep], shingle), "simhash")
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
-    comp = connected_components(_links(nodes, radius))
+    links = _links(nodes, radius)
+    comp = connected_components(links)
+    for table in links._quire_uses:
+        discard(table)
     rooted = nodes.join(comp, nodes.fp == comp.node, "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
     least = rooted.groupBy("component").agg(F.min("first_id").alias("component_id"))
     verdict = rooted.join(least, "component").select("fp", "component_id")

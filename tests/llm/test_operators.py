@@ -16,6 +16,7 @@ from quire.llm import quality as ql
 from quire.llm import secret_scan as ss
 from quire.llm import sentencepiece_scan as sp
 from quire.llm import simhash as sh
+from quire.llm import suffix_dedup as sd
 from quire.llm import textblocks as tb
 from quire.llm import toxicity as tx
 from quire.llm.components import connected_components
@@ -237,8 +238,11 @@ def brute_suffix(rows, depth):
     return sorted(out)
 
 
+@pytest.mark.parametrize("hot", [64, 2])
 @pytest.mark.parametrize("sizes", [{}, {"block": 700, "bucket": 900, "digit_bucket": 1500}])
-def test_suffix_dedup(spark, sizes):
+def test_suffix_dedup(spark, monkeypatch, sizes, hot):
+    monkeypatch.setattr(sd, "HOT", hot)
+    monkeypatch.setattr(sd, "FAN", 3)
     rng = random.Random(3)
     shared = [words(rng, 30) for _ in range(4)]
     rows = [(i, words(rng, rng.randrange(1, 60)) + rng.choice(["", " ", "é"]) + rng.choice(shared)[: rng.randrange(20, 120)] + words(rng, 9)) for i in rng.sample(range(1000), 60)]
@@ -247,6 +251,20 @@ def test_suffix_dedup(spark, sizes):
     assert got == brute_suffix(rows, 50)
 
 
+def test_suffix_dedup_of_a_passage_in_every_block(spark, monkeypatch):
+    """A passage that every block holds is folded level by level, and copies of one text in every block too."""
+    monkeypatch.setattr(sd, "HOT", 4)
+    monkeypatch.setattr(sd, "FAN", 4)
+    rng = random.Random(8)
+    common, copy = words(rng, 40), words(rng, 50)
+    rows = [(i, words(rng, 30, 10**6) + common + words(rng, 30, 10**6)) for i in rng.sample(range(1000), 90)] + [(1000 + i, copy) for i in range(60)]
+    levels = []
+    fold = sd._folded
+    monkeypatch.setattr(sd, "_folded", lambda r, salts, depth: levels.append(salts) or fold(r, salts, depth))
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup(table(spark, rows), ["doc_id"], block=900, bucket=5000, digit_bucket=5000).collect())
+    assert got == brute_suffix(rows, 50) and len(levels) >= 2 and levels[-1] == 1
+
+
 def test_suffix_dedup_null_ids_and_empty(spark):
     long = "z" + "0123456789" * 10
     got = {(r.doc_id, r.n_removed) for r in suffix_dedup(table(spark, [(None, long), (None, long), (5, long)]), ["doc_id"]).collect()}
@@ -309,7 +327,12 @@ def test_simhash(spark):
     assert sh.near_duplicates(table(spark, [])).count() == 0
 
 
-def test_vantage_point_shards_lose_no_link(spark, monkeypatch):
+@pytest.mark.parametrize("levels", [1, 2])
+def test_vantage_point_shards_lose_no_link(spark, monkeypatch, levels):
+    if levels == 2:  # few points above, a tree for each leaf below
+        monkeypatch.setattr(sh, "TREE_SAMPLE", 300)
+        monkeypatch.setattr(sh, "TOP_LEAVES", 4)
+        monkeypatch.setattr(sh, "TASK_ROWS", 500)
     monkeypatch.setattr(sh, "SHARD", 128)
     monkeypatch.setattr(sh, "LEAF", 32)
     monkeypatch.setattr(sh, "MAX_SHARD", 300)
@@ -325,7 +348,10 @@ def test_vantage_point_shards_lose_no_link(spark, monkeypatch):
     for _ in range(3):
         ball ^= np.uint64(1) << rng.integers(0, 64, len(ball), dtype=np.uint64)
     points = np.unique(np.concatenate([*parts, ball])).view(np.int64)
-    edges = sh._links(spark.createDataFrame([(int(p),) for p in points], "fp long"), 3)
+    nodes = spark.createDataFrame([(int(p),) for p in points], "fp long")
+    forest = sh._forest(nodes, len(points), 1)
+    assert all(t.leaves > 4 for t in forest) and all(len(t.vantage) == t.leaves - 1 for t in forest)
+    edges = sh._links(nodes, 3)
     found = {r.node: r.component for r in connected_components(edges).collect()}
     u = points.view(np.uint64)
     label = np.arange(len(u))
