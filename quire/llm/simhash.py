@@ -28,7 +28,7 @@ SHARD = 8192
 LEAF_SAMPLE = 32
 MAX_LEAVES = 1 << 20
 #: Rows that a task compares, about.
-TASK_ROWS = 1 << 15
+TASK_ROWS = 1 << 13
 #: Shards over MAX_SHARD rows whose numbers are sent to every task, at most; more are joined.
 MAX_LARGE = 100_000
 #: A shard beyond this many rows is compared in blocks by several tasks.
