@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm import textblocks as tb
-from quire.llm.common import held_out, map_arrow, tune
+from quire.llm.common import discard, held_out, labelled_sample, map_arrow, materialize, tune
 
 FEATURES = 256
 RIDGE = 1e-3
 #: Labelled rows of each class taken for fitting, at most, and the longest text among them.
 TRAIN_PER_CLASS = 6000
 TRAIN_CHARS = 40_000
+#: Partitions of the sample's statistics, and rows of it that the kernel's width is taken from.
+FIT_PARTITIONS = 8
+WIDTH_ROWS = 2000
 _UPPER = tb.byte_table(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _LETTER = tb.byte_table(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
 _DIGIT = tb.byte_table(b"0123456789")
@@ -95,12 +98,15 @@ def statistics(column: pa.Array) -> np.ndarray:
 
 
 class Projection:
-    """Standardised statistics mapped to cosines whose inner products approximate a Gaussian kernel."""
+    """Standardised statistics mapped to cosines whose inner products approximate a Gaussian kernel.
 
-    def __init__(self, x: np.ndarray, features: int = FEATURES, seed: int = 11) -> None:
+    x: rows that the kernel's width is taken from (the median distance of pairs of them).
+    """
+
+    def __init__(self, mean: np.ndarray, scale: np.ndarray, x: np.ndarray, features: int = FEATURES, seed: int = 11) -> None:
         rng = np.random.default_rng(seed)
-        self.mean, self.scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
-        z = self._standard(x[: min(len(x), 2000)])
+        self.mean, self.scale = mean, np.maximum(scale, 1e-6)
+        z = self._standard(x)
         a, b = rng.integers(0, len(z), 4000), rng.integers(0, len(z), 4000)
         width = max(float(np.median(np.sqrt(((z[a] - z[b]) ** 2).sum(axis=1)))), 1e-3)
         self.frequency = rng.normal(0, 1 / width, (x.shape[1], features))
@@ -114,11 +120,12 @@ class Projection:
         return np.concatenate([z, np.ones((len(x), 1))], axis=1)
 
 
-def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Knots of the non-decreasing fit of y on score (pool adjacent violators); ties of score are pooled first."""
+def isotonic(score: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Knots of the weighted non-decreasing fit of y on score (pool adjacent violators); ties of score are pooled first."""
+    weight = np.ones(len(y)) if weight is None else weight
     x, back = np.unique(score, return_inverse=True)
-    w = np.bincount(back).astype(float)
-    v = np.bincount(back, weights=y) / w
+    w = np.bincount(back, weights=weight)
+    v = np.bincount(back, weights=weight * y) / w
     blocks: list[list[float]] = []  # value, weight, first, last
     for i in range(len(x)):
         blocks.append([v[i], w[i], x[i], x[i]])
@@ -137,62 +144,62 @@ class Model:
         return np.clip(np.interp(self.projection(x) @ self.weight, *self.knots), 0, 1)
 
 
-def _sample(docs: DataFrame, labels: DataFrame, folds: int, fold: int, per_class: int, max_chars: int) -> DataFrame:
-    ids = (
-        labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out("doc_id", folds, fold))
-        .groupBy("doc_id")
-        .agg(F.max("quality").cast("int").alias("y"))
-    )
-    picked = None
-    for value in (0, 1):
-        one = ids.where(F.col("y") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
-        picked = one if picked is None else picked.unionByName(one)
-    return docs.select("doc_id", "text").where(F.length("text") <= max_chars).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y")
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), len(STATISTICS))
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, per_class: int = TRAIN_PER_CLASS, max_chars: int = TRAIN_CHARS) -> Model | None:
     """Fit on at most `per_class` rows of each class outside the held-out fold; None if a class is missing.
 
-    The statistics of the sample (29 numbers a row, so bounded) fix the scales and the kernel width. The normal equations
-    are summed inside each partition and across partitions; rows are weighted so that the sample's class shares equal
-    those of the labels. Calibration is isotonic on the fitted scores.
+    The sample's statistics (29 numbers a row) are one table in a few partitions. Their scales are aggregates of it, the
+    kernel's width comes from its first rows, and the normal equations are summed where the rows are: each partition
+    gives one matrix. Rows are weighted so that the sample's class shares equal those of the labels. Calibration is
+    isotonic on the fitted scores, with the same weights.
     """
     spark = docs.sparkSession
-    sample = _sample(docs, labels, folds, fold, per_class, max_chars)
+    sample = labelled_sample(docs, labels, "quality", per_class, folds, fold, max_chars)
 
     def make():
         return lambda batch: {"x": pa.array(list(statistics(batch.column(batch.schema.get_field_index("text")))), pa.list_(pa.float64()))}
 
-    stats = map_arrow(sample, make, [("x", T.ArrayType(T.DoubleType()))], ["doc_id", "y"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * per_class)
-    rows = stats.collect()  # at most 2 * per_class rows of 29 numbers
-    x, y = np.array([r.x for r in rows], float).reshape(len(rows), len(STATISTICS)), np.array([r.y for r in rows], float)
-    if len(set(y)) < 2:
+    stats = map_arrow(sample, make, [("x", T.ArrayType(T.DoubleType()))], ["doc_id", "y"])
+    stats = materialize(stats.repartition(FIT_PARTITIONS, "doc_id").sortWithinPartitions("doc_id", "x"), "quality-sample")
+    moments = stats.select("y", F.posexplode("x").alias("at", "v")).groupBy("at").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("scale")).orderBy("at").collect()
+    counts = {r.y: r["count"] for r in stats.groupBy("y").count().collect()}
+    if len(counts) < 2:
         return None
     shares = {r.quality: r["count"] for r in labels.where(F.col("quality").isin(0, 1) & ~held_out("doc_id", folds, fold)).groupBy("quality").count().collect()}
-    weight = np.where(y == 1, shares[1] / max((y == 1).sum(), 1), shares[0] / max((y == 0).sum(), 1))
-    weight = weight / weight.mean()
-    projection = Projection(x)
-    shared = spark.sparkContext.broadcast(projection)
+    per_row = np.array([shares[k] / counts[k] for k in (0, 1)])
+    per_row = per_row * sum(counts.values()) / sum(shares[k] for k in (0, 1))
+    first = stats.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(WIDTH_ROWS).collect()
+    projection = Projection(np.array([r.mean for r in moments]), np.array([r.scale for r in moments]), np.array([r.x for r in first]))
+    shared = spark.sparkContext.broadcast((projection, per_row))
     width = FEATURES + 1
 
     def sums(batches):
+        projection, per_row = shared.value
         gram, rhs = np.zeros((width, width)), np.zeros(width)
         for batch in batches:
-            z = shared.value(np.array(batch.column(0).to_pylist(), float).reshape(-1, len(STATISTICS)))
-            w, t = batch.column(2).to_numpy()[:, None], batch.column(1).to_numpy()
-            gram += z.T @ (z * w)
-            rhs += (z * w).T @ t
+            y = batch.column(1).to_numpy()
+            z = projection(_matrix(batch.column(0)))
+            weighted = z * per_row[y][:, None]
+            gram += z.T @ weighted
+            rhs += weighted.T @ y
         yield pa.RecordBatch.from_arrays([pa.array([gram.ravel()], pa.list_(pa.float64())), pa.array([rhs], pa.list_(pa.float64()))], names=["gram", "rhs"])
 
-    points = spark.createDataFrame([(r.x, float(r.y), float(w)) for r, w in zip(rows, weight, strict=True)], "x array<double>, y double, w double").repartition(4)
-    parts = points.mapInArrow(sums, "gram array<double>, rhs array<double>").collect()  # four matrices
+    parts = stats.select("x", "y").mapInArrow(sums, "gram array<double>, rhs array<double>").collect()  # a matrix for each of the few partitions
     gram = sum(np.array(p.gram).reshape(width, width) for p in parts)
     rhs = sum(np.array(p.rhs) for p in parts)
-    solved = np.linalg.solve(gram + RIDGE * len(rows) * np.diag([*np.ones(FEATURES), 0.0]) / 10, rhs)
-    fitted = projection(x) @ solved
-    # repeating rows by weight is the same as weighting them; the sample is small
-    times = np.maximum(1, np.round(weight / weight.min()).astype(int))
-    return Model(projection, solved, isotonic(np.repeat(fitted, times), np.repeat(y, times)))
+    solved = np.linalg.solve(gram + RIDGE * sum(counts.values()) * np.diag([*np.ones(FEATURES), 0.0]) / 10, rhs)
+    weights = spark.sparkContext.broadcast(solved)
+
+    def make_fitted():
+        return lambda batch: {"fitted": pa.array(shared.value[0](_matrix(batch.column(batch.schema.get_field_index("x")))) @ weights.value)}
+
+    rows = map_arrow(stats, make_fitted, [("fitted", T.DoubleType())], ["y"], read=("x",)).collect()  # at most 2 * per_class pairs of numbers
+    discard(stats)
+    y = np.array([r.y for r in rows])
+    return Model(projection, solved, isotonic(np.array([r.fitted for r in rows]), y.astype(float), per_row[y]))
 
 
 def quality_scores(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:

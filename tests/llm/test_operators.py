@@ -506,6 +506,99 @@ def test_isotonic():
     assert np.allclose(np.interp([1, 2, 3, 4], x, y), [0, 0.5, 0.5, 1])
 
 
+def test_quality_equals_plain_version(spark):
+    """Statistics, weighted ridge regression on the cosines and isotonic calibration, done plainly on one table."""
+    rng = random.Random(12)
+    good = lambda: " ".join(rng.choice(["The", "river", "runs", "slowly,", "past", "old", "mills."]) for _ in range(rng.randrange(20, 60)))
+    bad = lambda: " ".join(rng.choice(["BUY!!!", "now", "$$$", "click|here", "###"]) for _ in range(rng.randrange(5, 60)))
+    rows = [(i, good() if i % 3 else bad()) for i in range(150)] + [(200 + i, t) for i, t in enumerate([None, "", "x", "\n\n", "mid BUY river!!! now. " * 3])]
+    y = {i: int(i % 3 > 0) if i % 7 else int(i % 2) for i in range(150)}
+    labels = spark.createDataFrame(list(y.items()), "doc_id long, quality int")
+    got = {r.doc_id: r for r in ql.quality(table(spark, rows), labels).collect()}
+    x = {i: ql.statistics(pa.array([t], pa.string()))[0] for i, t in rows}
+    train = [i for i in y if zlib.crc32(str(i).encode()) % 5]
+    xs, ys = np.array([x[i] for i in train]), np.array([y[i] for i in train], float)
+    # no class is cut, so all weights are 1 and all rows give the kernel's width, whatever their order
+    model = ql.fit(table(spark, rows), labels)
+    assert np.allclose(model.projection.mean, xs.mean(axis=0)) and np.allclose(model.projection.scale, np.maximum(xs.std(axis=0), 1e-6))
+    z = model.projection(xs)
+    root = np.sqrt(ql.RIDGE * len(ys) / 10) * np.eye(z.shape[1])
+    root[-1, -1] = 0  # the constant is not shrunk
+    weight = np.linalg.lstsq(np.concatenate([z, root]), np.concatenate([ys, np.zeros(len(root))]), rcond=None)[0]
+    assert np.allclose(z @ weight, z @ model.weight, atol=1e-6)
+    fitted = z @ model.weight
+    order = np.argsort(fitted, kind="stable")
+    v = ys[order]  # the least square non-decreasing fit by its max-min formula
+    flat = np.array([max(min(v[a : b + 1].mean() for b in range(i, len(v))) for a in range(i + 1)) for i in range(len(v))])
+    for i, t in rows:
+        want = np.clip(np.interp(model.projection(x[i][None])[0] @ model.weight, fitted[order], flat), 0, 1)
+        assert abs(got[i].score - want) < 1e-6 and got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and got[i].predicted == int(got[i].score >= 0.3)
+
+
+def test_weighted_isotonic_equals_repeated_rows():
+    rng = np.random.default_rng(3)
+    x, y, w = rng.random(60), rng.integers(0, 2, 60).astype(float), rng.integers(1, 4, 60)
+    a, b = ql.isotonic(x, y, w.astype(float)), ql.isotonic(np.repeat(x, w), np.repeat(y, w))
+    assert np.allclose(np.interp(x, *a), np.interp(x, *b))
+
+
+def test_field_equals_enumeration():
+    """Marginals and likelihood gradient of the chain against all label sequences."""
+    from itertools import product
+
+    field = tx.Field(3)
+    field.token[:3], field.bias, field.step = [1.5, -0.7, 2.0], -1.0, np.array([[0.3, -0.5], [0.2, 0.6]])
+    ids = np.array([[0, 3, 1, 2, 3, 0, 3]])
+
+    def weight(labels, token, bias, step):
+        states = [0, *labels]  # a chain begins clean
+        return np.exp(sum(step[a, b] for a, b in zip(states, states[1:], strict=False)) + sum((bias + token[k]) * s for k, s in zip(ids[0], labels, strict=True)))
+
+    every = list(product((0, 1), repeat=ids.shape[1]))
+    w = np.array([weight(s, field.token, field.bias, field.step) for s in every])
+    node, _ = field._expect(ids)
+    assert np.allclose(node[0], (w @ np.array(every)) / w.sum())
+    event = np.array([0, 2, 3, 5])
+    sparse = field.marginals(ids[0][event], np.array([0, 1, 0, 1]), np.array([1]), np.array([0, 4]))
+    assert np.allclose(sparse, node[0][event])
+
+
+def test_toxicity_equals_plain_version(spark):
+    """Tokens by a pattern, dense forward-backward and the link, for every row; the model is the operator's own."""
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    model = tx.fit(docs, labels)
+    rows = [(r.doc_id, r.text) for r in docs.orderBy("doc_id").limit(150).collect()] + [(-1, None), (-2, ""), (-3, "Idiot é")]
+    got = {r.doc_id: r for r in tx.toxicity_scores(table(spark, rows), model, ["doc_id"]).collect()}
+    m = np.exp(model.field.step)
+    seen = 0
+    for i, t in rows:
+        found = list(re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t or ""))
+        tokens = tx.Tokens(pa.array([x[0] for x in found], pa.string()))  # each word for itself
+        kind = [int(k) for k in model.lexicon.ids(tokens)]
+        emit = [np.exp(np.clip(model.field.bias + model.field.token[k], -30, 30)) for k in kind]
+        alpha, beta, state = [], [np.ones(2)], np.array([1.0, 0.0])
+        for e in emit:
+            state = (state @ m) * [1, e]
+            state = state / state.sum()
+            alpha.append(state)
+        for e in emit[:0:-1]:
+            b = m @ (beta[-1] * [1, e])
+            beta.append(b / b.sum())
+        p = np.array([a[1] * b[1] / (a @ b) for a, b in zip(alpha, beta[::-1], strict=False)])
+        near = np.zeros(len(p), bool)
+        for at in np.flatnonzero(np.array(kind) >= 0) if len(p) else []:
+            near[max(0, at - tx.CONTEXT) : at + tx.CONTEXT + 1] = True
+        total = p[near].sum() if len(p) else 0.0
+        sure = {kind[k] for k in np.flatnonzero(near & (p >= 0.5))} if len(p) else set()
+        x = [p[near].max() if near.any() else 0.0, np.log1p(total), np.log1p(100 * total / max(len(p), 1)), np.log1p(len(sure)), 1]
+        assert abs(got[i].score - 1 / (1 + np.exp(-np.dot(x, model.link)))) < 1e-6
+        spans = [t[s.start : s.end] for s in got[i].toxic_spans]
+        toxic = [found[k][0] for k in np.flatnonzero(near & (p >= 0.5))] if len(p) else []
+        assert [w for s in spans for w in re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", s)] == toxic
+        seen += len(toxic)
+    assert seen
+
+
 # --- secrets
 
 
