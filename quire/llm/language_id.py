@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import unicodedata
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -12,14 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm import textblocks as tb
-from quire.llm.common import fit_in_task, held_out, map_arrow, tune
+from quire.llm.common import discard, held_out, map_arrow, materialize, tune
 
-#: Training rows per language, about, and the longest text taken for training.
+#: Training rows per language, about, and the characters taken of each.
 TRAIN_PER_LANGUAGE = 1500
 TRAIN_CHARS = 6_000
-MAX_LANGUAGES = 200
+#: Entries of the tables of words and of n-grams of each order, and numbers (entries times languages) of a table, at most.
 MAX_WORDS = 100_000
 MAX_GRAMS = 50_000
+MAX_CELLS = 20_000_000
+SMOOTH = 0.1
 ORDERS = (4, 3, 2, 1)
 _EDGE = 0x20
 UNKNOWN = "und"
@@ -71,43 +72,42 @@ def _edged(words: Letters, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 class Model:
-    """Log frequencies per language of words and of character n-grams, hashed; of bounded size."""
-
-    def __init__(self, rows: list[tuple[str, str]]) -> None:
-        self.languages = sorted({lang for _, lang in rows})
-        count = len(self.languages)
-        column = {lang: j for j, lang in enumerate(self.languages)}
-        words = Letters(pa.array([t for t, _ in rows], pa.string()))
-        lang = np.repeat([column[x] for _, x in rows], np.diff(words.first)) if rows else np.zeros(0, int)
-        self.word_keys, self.word_scores = self._table(words.hash, lang, count, MAX_WORDS, least=2)
-        self.grams = []
-        _, once, back = np.unique(words.hash, return_index=True, return_inverse=True)
-        data, start, stop = _edged(words, once)
-        sums = tb.prefix(data)
-        weight = np.zeros((len(once), count))
-        np.add.at(weight, (back, lang), 1)
-        for n in ORDERS:
-            at, owner = _positions(start, stop, n)
-            key = tb.span_hash(sums, at, at + n)
-            self.grams.append(self._table(key, None, count, MAX_GRAMS, weight=weight[owner]))
-        self.floor = np.log(np.full(count, 1.0 / max(count, 1))) if count else np.zeros(0)
-
-    @staticmethod
-    def _table(keys: np.ndarray, lang: np.ndarray | None, count: int, most: int, weight: np.ndarray | None = None, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted keys and, per language, the log of the share of the key's (smoothed, length-free) frequency."""
-        unique, back = np.unique(keys, return_inverse=True)
-        c = np.zeros((len(unique), count))
-        if weight is None:
-            np.add.at(c, (back, lang), 1)
-        else:
-            np.add.at(c, back, weight)
-        total = c.sum(axis=1)
-        keep = np.flatnonzero(total >= least)
-        if len(keep) > most:
-            keep = np.sort(keep[np.argsort(-total[keep], kind="stable")[:most]])
-        mass = np.maximum(c.sum(axis=0), 1)
-        smooth = 0.1
-        return unique[keep], np.log((c[keep] + smooth) / (mass + smooth * max(len(unique), 1)))
+    """Log frequencies per language of words and of character n-grams, by hash.
+
+    counts: for words (order 0) and each n-gram order the sorted keys and a count per key and language; mass: all counts
+    of the order per language, those of other keys included; kinds: how many distinct keys the order has in all.
+    """
+
+    def __init__(self, languages: list[str], counts: dict[int, tuple[np.ndarray, np.ndarray]], mass: dict[int, np.ndarray], kinds: dict[int, int]) -> None:
+        self.languages = languages
+        none = np.zeros(0, np.uint64), np.zeros((0, len(languages)))
+        tables = {}
+        for n in (0, *ORDERS):
+            keys, c = counts.get(n, none)
+            tables[n] = keys, np.log((c + SMOOTH) / (np.maximum(mass.get(n, 0), 1) + SMOOTH * max(kinds.get(n, 0), 1)))
+        self.word_keys, self.word_scores = tables[0]
+        self.grams = [tables[n] for n in ORDERS]
+        self.floor = np.log(np.full(len(languages), 1.0 / max(len(languages), 1))) if languages else np.zeros(0)
+
+
+def _counts(column: pa.Array, lang: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Order, key, language number and count of every word and n-gram of a batch of texts in these languages."""
+    words = Letters(column)
+    own = np.repeat(lang, np.diff(words.first))
+    unique, once, back = np.unique(words.hash, return_index=True, return_inverse=True)
+    pair, many = np.unique(back * (lang.max(initial=0) + 1) + own, return_counts=True)
+    word, own = pair // (lang.max(initial=0) + 1), pair % (lang.max(initial=0) + 1)
+    parts = [(np.zeros(len(word), np.int64), unique[word], own, many)]
+    data, start, stop = _edged(words, once)
+    sums = tb.prefix(data)
+    for n in ORDERS:  # from each distinct word, as often as it stands in each language
+        at, owner = _positions(start[word], stop[word], n)
+        key = tb.span_hash(sums, at, at + n)
+        order = np.lexsort((own[owner], key))
+        k, o, w = key[order], own[owner][order], many[owner][order]
+        new = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (o[1:] != o[:-1])])) if len(k) else np.zeros(0, np.int64)
+        parts.append((np.full(len(new), n), k[new], o[new], np.add.reduceat(w, new) if len(new) else w))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 def _positions(start: np.ndarray, stop: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -167,15 +167,59 @@ def _predict(model: Model, column: pa.Array) -> dict:
 def training_rows(docs: DataFrame, folds: int, fold: int, per_language: int, max_chars: int) -> DataFrame:
     """About `per_language` labelled texts of each language outside the held-out fold, chosen by a hash of their id.
 
-    The share taken of each language follows from its row count, so no language's rows meet in a task. At most the 200
-    commonest languages are learned, and the limit on the whole sample is firm.
+    The share taken of each language follows from its row count, so no language's rows meet in a task and none is left
+    out, however rare it is or long its texts are: of a text over `max_chars` characters, a stretch of that length
+    is taken, at a place given by a hash of the id.
     """
-    ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", folds, fold) & (F.length("text") <= max_chars))
-    counts = ids.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGUAGES)
-    share = counts.select("lang", (per_language / F.col("count")).alias("share"))
+    ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id", folds, fold))
+    share = ids.groupBy("lang").agg((per_language / F.count(F.lit(1))).alias("share"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
-    rows = ids.join(F.broadcast(share), "lang").where(place < F.col("share"))  # at most MAX_LANGUAGES rows are broadcast
-    return rows.select("doc_id", "lang", "text").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(per_language * MAX_LANGUAGES)
+    rows = ids.join(F.broadcast(share), "lang").where(place < F.col("share"))  # a row for each language
+    at = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.greatest(F.length("text") - max_chars, F.lit(0)) + 1) + 1
+    text = F.when(F.length("text") > max_chars, F.substring(F.col("text"), at, F.lit(max_chars))).otherwise(F.col("text"))
+    return rows.select("lang", text.alias("text"))
+
+
+def fit(docs: DataFrame, folds: int = 4, fold: int = 2, per_language: int = TRAIN_PER_LANGUAGE, max_chars: int = TRAIN_CHARS, cells: int = MAX_CELLS) -> Model:
+    """Count words and n-grams in the tasks that hold the sample, sum them by key, and keep the commonest of each order.
+
+    Only the kept counts come to the driver: at most MAX_WORDS words of two occurrences and MAX_GRAMS n-grams of each order,
+    and fewer where there are many languages, so that no table has over `cells` numbers.
+    """
+    rows = materialize(training_rows(docs, folds, fold, per_language, max_chars), "language-sample")
+    languages = sorted(r.lang for r in rows.select("lang").distinct().collect())  # as many as there are languages
+    number = docs.sparkSession.sparkContext.broadcast({x: i for i, x in enumerate(languages)})
+
+    def count(batches):
+        for batch in batches:
+            lang = np.array([number.value[x] for x in batch.column(0).to_pylist()], np.int64)
+            order, key, own, many = _counts(batch.column(1), lang)
+            yield pa.RecordBatch.from_arrays([pa.array(order.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(own.astype(np.int32)), pa.array(many)], names=["order", "key", "lang", "n"])
+
+    counted = rows.mapInArrow(count, "order int, key long, lang int, n long").groupBy("order", "key", "lang").agg(F.sum("n").alias("n"))
+    counted = materialize(counted, "language-counts")
+    discard(rows)
+    mass = {n: np.zeros(len(languages)) for n in (0, *ORDERS)}
+    for r in counted.groupBy("order", "lang").agg(F.sum("n").alias("n")).collect():  # orders times languages
+        mass[r.order][r.lang] = r.n
+    totals = counted.groupBy("order", "key").agg(F.sum("n").alias("n"))
+    kinds = {r.order: r["count"] for r in totals.groupBy("order").count().collect()}
+    kept = None
+    for n in (0, *ORDERS):
+        most = max(1, min(MAX_GRAMS if n else MAX_WORDS, cells // max(len(languages), 1)))
+        top = totals.where((F.col("order") == n) & (F.col("n") >= (1 if n else 2))).orderBy(F.col("n").desc(), "key").limit(most).select("order", "key")
+        kept = top if kept is None else kept.unionByName(top)
+    table = counted.join(kept, ["order", "key"]).toArrow()
+    discard(counted)
+    order, key, lang, n = (table.column(c).to_numpy() for c in ("order", "key", "lang", "n"))
+    counts = {}
+    for o in np.unique(order):
+        mine = order == o
+        keys, at = np.unique(key[mine].view(np.uint64), return_inverse=True)
+        c = np.zeros((len(keys), len(languages)))
+        c[at, lang[mine]] = n[mine]
+        counts[int(o)] = keys, c
+    return Model(languages, counts, mass, kinds)
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
@@ -200,10 +244,8 @@ def language_id(
 ) -> DataFrame:
     """Learn from the labelled rows outside the held-out fold and predict every row: doc_id, held_out, lang_pred, score.
 
-    The model is fitted on a bounded sample (`per_language` texts of at most `max_chars` characters for each of at most
-    200 languages), so its tables are bounded and sent to the tasks; prediction covers all rows and whole texts.
+    The model is fitted on a bounded sample (about `per_language` texts of at most `max_chars` characters for each language), so its
+    tables are bounded and sent to the tasks; prediction covers all rows and whole texts.
     """
     tune(docs.sparkSession)
-    rows = training_rows(docs, folds, fold, per_language, max_chars).select("text", "lang")
-    model = fit_in_task(rows, lambda columns: Model(list(zip(columns.get("text", []), columns.get("lang", []), strict=True))))
-    return identify(docs, model, ["doc_id"]).select("doc_id", held_out("doc_id", folds, fold).alias("held_out"), "lang_pred", "score")
+    return identify(docs, fit(docs, folds, fold, per_language, max_chars), ["doc_id"]).select("doc_id", held_out("doc_id", folds, fold).alias("held_out"), "lang_pred", "score")

@@ -451,6 +451,54 @@ def test_language_id_of_odd_rows(spark):
     assert {r.lang_pred for r in li.language_id(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_language_id_equals_plain_version(spark):
+    """Counts by dictionaries and scores word by word; a long text and a rare language are learned from as well."""
+    rng = random.Random(5)
+    vocab = {"de": "das ist gut und schön über straße", "en": "this is good and nice over the road", "xx": "zzy qqw wxq"}
+    rows = [(i, " ".join(rng.choice(vocab[x].split()) for _ in range(rng.randrange(3, 30))).title(), x) for i, x in enumerate(rng.choices(["de", "en"], k=160))]
+    rows += [(200 + i, " ".join(rng.choice(vocab["xx"].split()) for _ in range(3000)), "xx") for i in range(8)]
+    rows += [(300 + i, t, None) for i, t in enumerate(["schönes gut", "roads und", "zzyq", "ж", "1 2", None, "good-night straßen wxqq"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in li.language_id(docs).collect()}
+    train = [(t, x) for i, t, x in rows if x and zlib.crc32(str(i).encode()) % 4 != 2]
+    split = lambda t: ["".join(c.lower() if len(c.lower()) == 1 else c for c in w) for w in re.findall(r"[^\W\d_]+", t or "")]
+    names = sorted({x for _, x in train})
+    assert names == ["de", "en", "xx"]
+    counts = {n: {} for n in (0, *li.ORDERS)}
+    long_start = {i: None for i, t, _ in rows if t and len(t) > li.TRAIN_CHARS}
+    sampled = {(r.lang, r.text) for r in li.training_rows(docs, 4, 2, 10**9, li.TRAIN_CHARS).collect()}
+    assert all(len(t) <= li.TRAIN_CHARS for _, t in sampled) and len(long_start) == 8
+    texts = [(r.text, r.lang) for r in li.training_rows(docs, 4, 2, li.TRAIN_PER_LANGUAGE, li.TRAIN_CHARS).collect()]
+    assert len(texts) == len(train)  # fewer rows than the sample may hold
+    for t, x in texts:
+        for w in split(t):
+            counts[0].setdefault(w, dict.fromkeys(names, 0))[x] += 1
+            for n in li.ORDERS:
+                e = f" {w} "
+                for k in range(len(e) - n + 1):
+                    counts[n].setdefault(e[k : k + n], dict.fromkeys(names, 0))[x] += 1
+    mass = {n: {x: max(1, sum(c[x] for c in counts[n].values())) for x in names} for n in counts}
+    log = lambda n, key, x: np.log((counts[n][key][x] + li.SMOOTH) / (mass[n][x] + li.SMOOTH * len(counts[n])))
+
+    def word(w, x):
+        if sum(counts[0].get(w, {"": 0}).values()) >= 2:
+            return log(0, w, x)
+        e, parts = f" {w} ", []
+        for end in range(2, len(e) + 1):
+            known = [n for n in li.ORDERS if n <= end and e[end - n : end] in counts[n]]
+            parts.append(log(known[0], e[end - known[0] : end], x) + np.log(0.4) * (4 - known[0]) if known else np.log(1 / len(names)))
+        return np.mean(parts)
+
+    for i, t, _ in rows:
+        w = split(t)
+        if not w:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        s = np.array([sum(word(v, x) for v in w) for x in names])
+        p = np.exp((s - s.max()) / np.sqrt(len(w)))
+        assert got[i].lang_pred == names[int(s.argmax())] and abs(got[i].score - p.max() / p.sum()) < 1e-6, (i, t)
+
+
 # --- quality and toxicity
 
 
