@@ -24,7 +24,8 @@ BLOCK = 384 << 10
 #: Bytes of text per bucket of the first pass (hashes only) and of the further ones (the bytes that repeat).
 DIGIT_BUCKET = 64 << 20
 BUCKET = 6 << 20
-#: A first digit that more than HOT blocks hold is folded by groups of FAN blocks, level by level, before all of it meets.
+#: A first digit that more than HOT blocks hold, and more than a quarter of all, is folded by groups of FAN blocks, level by level,
+#: before all of it meets; a rarer one would hardly meet itself in such a group.
 HOT = 64
 FAN = 64
 
@@ -206,7 +207,7 @@ def _shared_digits(blocks: DataFrame, buckets: int, depth: int, digit: int) -> D
                         names=["bucket", "block", "digits", "copy_keys", "ids"],
                     )
 
-    hot = HOT
+    hot = max(HOT, blocks.count() // 4)
 
     def match(pdf: pd.DataFrame) -> pd.DataFrame:
         sizes = np.array([len(x) // 4 for x in pdf["digits"]])
@@ -255,7 +256,8 @@ def _least_copies(keys: list[bytes], ids: np.ndarray) -> dict[bytes, int]:
 
 
 #: Ranges that repeat (the first four), and windows that no smaller document in reach holds, which go on to the next level.
-_RANGES = "block long, piece int, start long, end long, bucket int, salt int, data binary, size binary, ids binary, pieces binary, starts binary"
+_RANGES = "block long, piece int, start long, end long, bucket int, salt int, data binary, size binary, ids binary, pieces binary, starts binary, blocks binary"
+_REST = ["bucket", "salt", "data", "size", "ids", "pieces", "starts", "blocks"]
 _MOVED = [
     ("bucket", pa.int32()), ("salt", pa.int32()), ("block", pa.int64()), ("data", pa.binary()), ("size", pa.binary()), ("ids", pa.binary()), ("pieces", pa.binary()), ("starts", pa.binary()), ("found", pa.binary()),
 ]
@@ -266,16 +268,21 @@ def _strings(data: np.ndarray, a: np.ndarray, size: np.ndarray) -> bytes:
     return data[np.repeat(a - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))].tobytes()
 
 
-def _compare(pdf: pd.DataFrame, depth: int, last: bool) -> pd.DataFrame:
-    """Settle the windows of one bucket (or of a group of blocks in it): ranges of those that repeat, and the rest if not `last`."""
+def _compare(pdf: pd.DataFrame, depth: int, buckets: int) -> pd.DataFrame:
+    """Settle the windows of one bucket (or of a group of blocks in it): ranges of those that repeat, and the rest if there are `buckets`.
+
+    The rest is dealt to buckets by another digit (the gram of smallest hash under another hash), so that different windows
+    of one hot digit part and neighbours mostly stay together.
+    """
     join = lambda c, t: np.frombuffer(b"".join(pdf[c]), t)
     data, size, ids, piece, start = join("data", np.uint8), join("size", np.int32).astype(np.int64), join("ids", np.int64), join("pieces", np.int32), join("starts", np.int64)
-    block = np.repeat(pdf["block"].to_numpy(), [len(x) // 4 for x in pdf["size"]])
+    block = join("blocks", np.int64) if "blocks" in pdf else np.repeat(pdf["block"].to_numpy(), [len(x) // 4 for x in pdf["size"]])
     begin = np.cumsum(size) - size
     many = size - depth + 1
     run = np.repeat(np.arange(len(size)), many)
     at = np.arange(len(run)) - np.repeat(np.cumsum(many) - many, many) + begin[run]
-    done = smaller(data, tb.prefix(data), at, ids[run], depth)
+    sums = tb.prefix(data)
+    done = smaller(data, sums, at, ids[run], depth)
     r, a, b = _ranges(at[done], run[done], depth)
     out = {"block": [block[r]], "piece": [piece[r]], "start": [a - begin[r] + start[r]], "end": [b - begin[r] + start[r]]}
     if "found" in pdf:
@@ -284,21 +291,27 @@ def _compare(pdf: pd.DataFrame, depth: int, last: bool) -> pd.DataFrame:
         for c, name in enumerate(("piece", "start", "end")):
             out[name].append(known[:, c])
     settled = pd.DataFrame({k: np.concatenate(v).astype(np.int32 if k == "piece" else np.int64) for k, v in out.items()})
-    if last or done.all():
-        return settled.reindex(columns=[c.split()[0] for c in _RANGES.split(", ")]).astype(object).where(lambda x: x.notna(), None)
-    r, a, b = _ranges(at[~done], run[~done], depth)
-    order = np.argsort(block[r], kind="stable")
-    r, a, b = r[order], a[order], b[order]
-    cuts = np.flatnonzero(np.concatenate([[True], block[r][1:] != block[r][:-1], [True]]))
-    rest = []
+    settled = settled.assign(**dict.fromkeys(_REST))
+    if not buckets or done.all():
+        return settled
+    at, run = at[~done], run[~done]
+    grams = _sliding_min(tb.mix(_rolling(sums, depth // 2) ^ np.uint64(0x5851F42D4C957F2D)), depth - depth // 2 + 1)
+    to = (grams[at] % np.uint64(buckets)).astype(np.int64)
+    new = np.concatenate([[True], (run[1:] != run[:-1]) | (at[1:] != at[:-1] + 1) | (to[1:] != to[:-1])])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(at)) - 1
+    r, a, z, to = run[first], at[first], at[last] + depth - at[first], to[first]
+    order = np.argsort(to, kind="stable")
+    r, a, z, to = r[order], a[order], z[order], to[order]
+    cuts = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1], [True]]))
+    salt, rest = int(pdf["salt"].iloc[0]), []
     for i, j in zip(cuts, cuts[1:], strict=False):
-        q, s, z = r[i:j], a[i:j], b[i:j] - a[i:j]
+        q = r[i:j]
         rest.append((
-            int(block[q[0]]), int(pdf["bucket"].iloc[0]), int(pdf["salt"].iloc[0]), _strings(data, s, z), z.astype(np.int32).tobytes(), ids[q].tobytes(), piece[q].astype(np.int32).tobytes(), (s - begin[q] + start[q]).tobytes(),
+            int(to[i]), salt, _strings(data, a[i:j], z[i:j]), z[i:j].astype(np.int32).tobytes(), ids[q].tobytes(), piece[q].astype(np.int32).tobytes(), (a[i:j] - begin[q] + start[q]).tobytes(), block[q].tobytes(),
         ))
-    rest = pd.DataFrame(rest, columns=["block", "bucket", "salt", "data", "size", "ids", "pieces", "starts"])
-    both = pd.concat([settled.astype(object), rest.astype(object)], ignore_index=True)
-    return both.reindex(columns=[c.split()[0] for c in _RANGES.split(", ")]).astype(object).where(lambda x: x.notna(), None)
+    rest = pd.DataFrame(rest, columns=_REST).assign(**dict.fromkeys(["block", "piece", "start", "end"])).reindex(columns=settled.columns)
+    return pd.concat([settled.astype(object), rest.astype(object)], ignore_index=True)
 
 
 def _repeats(blocks: DataFrame, shared: DataFrame, digit_buckets: int, buckets: int, salts: int, depth: int, digit: int) -> DataFrame:
@@ -379,18 +392,18 @@ def _repeats(blocks: DataFrame, shared: DataFrame, digit_buckets: int, buckets:
     moved = blocks.join(flags, "block", "left").mapInArrow(settle, ", ".join(f"{n} {kinds[t]}" for n, t in _MOVED))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _compare(pdf, depth, pdf["salt"].iloc[0] < 0)
+        return _compare(pdf, depth, 0 if pdf["salt"].iloc[0] < 0 else buckets)
 
     return moved.groupBy("bucket", "salt").applyInPandas(compare, _RANGES)
 
 
-def _folded(ranges: DataFrame, salts: int, depth: int) -> DataFrame:
+def _folded(ranges: DataFrame, salts: int, buckets: int, depth: int) -> DataFrame:
     """One level up: what FAN groups of blocks have left of the hot digits meets; in the last level (one group) all is settled."""
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _compare(pdf, depth, salts == 1)
+        return _compare(pdf, depth, buckets if salts > 1 else 0)
 
-    left = ranges.where(F.col("data").isNotNull()).select("block", "bucket", (F.col("salt") % salts).alias("salt"), "data", "size", "ids", "pieces", "starts")
+    left = ranges.where(F.col("data").isNotNull()).select(*_REST).withColumn("salt", F.col("salt") % salts)
     return left.groupBy("bucket", "salt").applyInPandas(compare, _RANGES)
 
 
@@ -416,7 +429,7 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, digit: int = DIGIT, bloc
     ranges = ranges.where(F.col("data").isNull()).select(*bounds)
     while not level.where(F.col("data").isNotNull()).isEmpty():
         salts = -(-salts // FAN)
-        level = materialize(_folded(level, salts, depth), "hot-ranges")
+        level = materialize(_folded(level, salts, buckets, depth), "hot-ranges")
         ranges = ranges.unionByName(level.where(F.col("data").isNull()).select(*bounds))
     named = blocks.select("block", F.posexplode(F.arrays_zip("ids", "keys")).alias("piece", "doc"))
     return ranges.join(named, ["block", "piece"]).select(F.col("doc.ids").alias("doc_id"), F.col("doc.keys").alias("text_key"), "start", "end")

@@ -260,7 +260,7 @@ def test_suffix_dedup_of_a_passage_in_every_block(spark, monkeypatch):
     rows = [(i, words(rng, 30, 10**6) + common + words(rng, 30, 10**6)) for i in rng.sample(range(1000), 90)] + [(1000 + i, copy) for i in range(60)]
     levels = []
     fold = sd._folded
-    monkeypatch.setattr(sd, "_folded", lambda r, salts, depth: levels.append(salts) or fold(r, salts, depth))
+    monkeypatch.setattr(sd, "_folded", lambda r, salts, *rest: levels.append(salts) or fold(r, salts, *rest))
     got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup(table(spark, rows), ["doc_id"], block=900, bucket=5000, digit_bucket=5000).collect())
     assert got == brute_suffix(rows, 50) and len(levels) >= 2 and levels[-1] == 1
 
