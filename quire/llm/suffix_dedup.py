@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,7 @@ DIGIT = 24
 #: Bytes of text of a block, the unit that first digits are folded in; small enough for a row of it to be no burden on the JVM.
 BLOCK = 384 << 10
 #: Bytes of text per bucket of the first pass (hashes only) and of the further ones (the bytes that repeat).
-DIGIT_BUCKET = 64 << 20
+DIGIT_BUCKET = 32 << 20
 BUCKET = 6 << 20
 #: A first digit that more than HOT blocks hold, and more than a quarter of all, is folded by groups of FAN blocks, level by level,
 #: before all of it meets; a rarer one would hardly meet itself in such a group.
@@ -216,12 +217,9 @@ def _shared_digits(blocks: DataFrame, buckets: int, depth: int, digit: int) -> D
         d = every[order]
         equal = np.zeros(len(d) + 1, bool)
         equal[1:-1] = d[1:] == d[:-1]
-        new = ~equal[:-1]
-        many = np.diff(np.append(np.flatnonzero(new), len(d)))
         flag = np.zeros(len(d), bool)
         flag[order] = equal[1:] | equal[:-1]
-        wide = np.zeros(len(d), bool)
-        wide[order] = np.repeat(many > hot, many)
+        wide = np.isin(every, np.unique(d[hot:][d[hot:] == d[:-hot]])) if len(d) > hot else np.zeros(len(d), bool)
         cuts = np.concatenate([[0], np.cumsum(sizes)])
         least: dict[bytes, int] = {}
         rows = []
@@ -256,8 +254,8 @@ def _least_copies(keys: list[bytes], ids: np.ndarray) -> dict[bytes, int]:
 
 
 #: Ranges that repeat (the first four), and windows that no smaller document in reach holds, which go on to the next level.
-_RANGES = "block long, piece int, start long, end long, bucket int, salt int, data binary, size binary, ids binary, pieces binary, starts binary, blocks binary"
-_REST = ["bucket", "salt", "data", "size", "ids", "pieces", "starts", "blocks"]
+_RANGES = "block long, piece int, start long, end long, bucket long, salt long, rest binary"
+_REST = ["data", "size", "ids", "pieces", "starts", "blocks"]
 _MOVED = [
     ("bucket", pa.int32()), ("salt", pa.int32()), ("block", pa.int64()), ("data", pa.binary()), ("size", pa.binary()), ("ids", pa.binary()), ("pieces", pa.binary()), ("starts", pa.binary()), ("found", pa.binary()),
 ]
@@ -274,6 +272,8 @@ def _compare(pdf: pd.DataFrame, depth: int, buckets: int) -> pd.DataFrame:
     The rest is dealt to buckets by another digit (the gram of smallest hash under another hash), so that different windows
     of one hot digit part and neighbours mostly stay together.
     """
+    if "rest" in pdf:
+        pdf = pd.DataFrame([pickle.loads(x) for x in pdf["rest"]], columns=_REST).assign(salt=pdf["salt"].to_numpy())
     join = lambda c, t: np.frombuffer(b"".join(pdf[c]), t)
     data, size, ids, piece, start = join("data", np.uint8), join("size", np.int32).astype(np.int64), join("ids", np.int64), join("pieces", np.int32), join("starts", np.int64)
     block = join("blocks", np.int64) if "blocks" in pdf else np.repeat(pdf["block"].to_numpy(), [len(x) // 4 for x in pdf["size"]])
@@ -291,7 +291,7 @@ def _compare(pdf: pd.DataFrame, depth: int, buckets: int) -> pd.DataFrame:
         for c, name in enumerate(("piece", "start", "end")):
             out[name].append(known[:, c])
     settled = pd.DataFrame({k: np.concatenate(v).astype(np.int32 if k == "piece" else np.int64) for k, v in out.items()})
-    settled = settled.assign(**dict.fromkeys(_REST))
+    settled = settled.assign(bucket=None, salt=None, rest=None)
     if not buckets or done.all():
         return settled
     at, run = at[~done], run[~done]
@@ -307,11 +307,9 @@ def _compare(pdf: pd.DataFrame, depth: int, buckets: int) -> pd.DataFrame:
     salt, rest = int(pdf["salt"].iloc[0]), []
     for i, j in zip(cuts, cuts[1:], strict=False):
         q = r[i:j]
-        rest.append((
-            int(to[i]), salt, _strings(data, a[i:j], z[i:j]), z[i:j].astype(np.int32).tobytes(), ids[q].tobytes(), piece[q].astype(np.int32).tobytes(), (a[i:j] - begin[q] + start[q]).tobytes(), block[q].tobytes(),
-        ))
-    rest = pd.DataFrame(rest, columns=_REST).assign(**dict.fromkeys(["block", "piece", "start", "end"])).reindex(columns=settled.columns)
-    return pd.concat([settled.astype(object), rest.astype(object)], ignore_index=True)
+        parts = (_strings(data, a[i:j], z[i:j]), z[i:j].astype(np.int32).tobytes(), ids[q].tobytes(), piece[q].astype(np.int32).tobytes(), (a[i:j] - begin[q] + start[q]).tobytes(), block[q].tobytes())
+        rest.append((None, None, None, None, int(to[i]), salt, pickle.dumps(parts)))
+    return pd.concat([settled.astype(object), pd.DataFrame(rest, columns=settled.columns, dtype=object)], ignore_index=True)
 
 
 def _repeats(blocks: DataFrame, shared: DataFrame, digit_buckets: int, buckets: int, salts: int, depth: int, digit: int) -> DataFrame:
@@ -403,7 +401,7 @@ def _folded(ranges: DataFrame, salts: int, buckets: int, depth: int) -> DataFram
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         return _compare(pdf, depth, buckets if salts > 1 else 0)
 
-    left = ranges.where(F.col("data").isNotNull()).select(*_REST).withColumn("salt", F.col("salt") % salts)
+    left = ranges.where(F.col("rest").isNotNull()).select("bucket", (F.col("salt") % salts).alias("salt"), "rest")
     return left.groupBy("bucket", "salt").applyInPandas(compare, _RANGES)
 
 
@@ -426,11 +424,11 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, digit: int = DIGIT, bloc
     ranges = materialize(_repeats(blocks, shared, digit_buckets, buckets, salts, depth, digit), "ranges")
     discard(shared)
     level, bounds = ranges, ["block", "piece", "start", "end"]
-    ranges = ranges.where(F.col("data").isNull()).select(*bounds)
-    while not level.where(F.col("data").isNotNull()).isEmpty():
+    ranges = ranges.where(F.col("rest").isNull()).select(*bounds)
+    while not level.where(F.col("rest").isNotNull()).isEmpty():
         salts = -(-salts // FAN)
         level = materialize(_folded(level, salts, buckets, depth), "hot-ranges")
-        ranges = ranges.unionByName(level.where(F.col("data").isNull()).select(*bounds))
+        ranges = ranges.unionByName(level.where(F.col("rest").isNull()).select(*bounds))
     named = blocks.select("block", F.posexplode(F.arrays_zip("ids", "keys")).alias("piece", "doc"))
     return ranges.join(named, ["block", "piece"]).select(F.col("doc.ids").alias("doc_id"), F.col("doc.keys").alias("text_key"), "start", "end")
 
