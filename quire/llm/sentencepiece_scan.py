@@ -23,6 +23,8 @@ CHUNK = 1 << 14
 #: Scores up to this one mean that the piece is never made by merging.
 NO_MERGE = -100_000_000
 _CACHE = 150_000
+#: A model file of more bytes is not sent to the tasks.
+MAX_MODEL = 64 << 20
 _NONE = -(1 << 60)
 _UNIT = re.compile(r"\n| ?[^ \n]+| ")
 
@@ -36,10 +38,10 @@ class Vocabulary:
     decoding restores every text.
     """
 
-    def __init__(self, path: str = MODEL) -> None:
+    def __init__(self, path: str = MODEL, proto: bytes | None = None) -> None:
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        model = sentencepiece.SentencePieceProcessor(model_file=path) if proto is None else sentencepiece.SentencePieceProcessor(model_proto=proto)
         self.bytes: list[bytes] = []
         self.byte_id = [0] * 256
         self.pieces: dict[str, tuple[int, int] | None] = {}
@@ -122,14 +124,55 @@ _vocabulary: dict[str, Vocabulary] = {}
 _units: dict[str, dict[bytes, tuple[np.ndarray, int]]] = {}
 
 
-def vocabulary(path: str) -> Vocabulary:
-    """The worker's copy of a model, read once."""
+def vocabulary(path: str, proto: bytes | None = None) -> Vocabulary:
+    """The worker's copy of a model, made once, from the file's bytes where they are given."""
     if path not in _vocabulary:
-        _vocabulary[path] = Vocabulary(path)
+        _vocabulary[path] = Vocabulary(path, proto)
         _units[path] = {}
     return _vocabulary[path]
 
 
+def _fields(message: bytes):
+    """Number and value (an integer or bytes) of each field of a protocol buffer message."""
+    at = 0
+
+    def varint() -> int:
+        nonlocal at
+        value, shift = 0, 0
+        while True:
+            byte = message[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    while at < len(message):
+        tag = varint()
+        if tag & 7 == 0:
+            yield tag >> 3, varint()
+        else:
+            size = varint() if tag & 7 == 2 else {1: 8, 5: 4}[tag & 7]
+            yield tag >> 3, message[at : at + size]
+            at += size
+
+
+def merges(proto: bytes) -> bool:
+    """Whether a model file was made for merging pairs (BPE): trainer_spec is field 2, its model_type field 3, BPE is 2."""
+    return any(n == 3 and v == 2 for m, spec in _fields(proto) if m == 2 for n, v in _fields(spec))
+
+
+def _read(spark, model: str, allow_merges: bool):
+    """The model's bytes as a broadcast: the driver reads the file, workers need not have it. Refuses over MAX_MODEL bytes."""
+    with open(model, "rb") as f:
+        proto = f.read(MAX_MODEL + 1)
+    if len(proto) > MAX_MODEL:
+        raise ValueError(f"the model file is larger than {MAX_MODEL} bytes")
+    if merges(proto) and not allow_merges:
+        raise ValueError("a model for merging pairs: its library orders merges by score, which no sum of scores gives; allow_merges=True takes the scores as they are")
+    return spark.sparkContext.broadcast(proto)
+
+
 def _unit(path: str, raw: bytes) -> tuple[np.ndarray, int]:
     cache = _units[path]
     got = cache.get(raw)
@@ -311,12 +354,12 @@ def backtrace(v: Vocabulary, path: str, text: str, size: int, entry: np.ndarray)
     return [], tails, came
 
 
-def _giants(docs: DataFrame, path: str, chunk: int) -> DataFrame:
+def _giants(docs: DataFrame, path: str, proto, chunk: int) -> DataFrame:
     """text_key, ids and round_trip of each distinct giant text, encoded in chunks that different tasks work on."""
     texts = docs.select(F.md5("text").alias("text_key"), "text").groupBy("text_key").agg(F.first("text").alias("text"))
 
     def split(batches):
-        reach = vocabulary(path).longest - 1
+        reach = vocabulary(path, proto.value).longest - 1
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 text = " " + text
@@ -328,7 +371,7 @@ def _giants(docs: DataFrame, path: str, chunk: int) -> DataFrame:
 
     def matrices():
         def work(batch: pa.RecordBatch) -> dict:
-            v = vocabulary(path)
+            v = vocabulary(path, proto.value)
             rows = zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("size", "chunk")), strict=True)
             return {"matrix": [transfer(v, path, text, size).tobytes() for size, text in rows]}
 
@@ -345,7 +388,7 @@ def _giants(docs: DataFrame, path: str, chunk: int) -> DataFrame:
 
     def traces():
         def work(batch: pa.RecordBatch) -> dict:
-            v = vocabulary(path)
+            v = vocabulary(path, proto.value)
             core, tails, came = [], [], []
             for size, text, entry in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("size", "chunk", "entry")), strict=True):
                 x, y, z = backtrace(v, path, text, size, np.frombuffer(entry, np.int64))
@@ -370,14 +413,17 @@ def _giants(docs: DataFrame, path: str, chunk: int) -> DataFrame:
     return traced.groupBy("text_key").applyInPandas(join, "text_key string, ids array<int>")
 
 
-def encode(docs: DataFrame, keep: list[str], model: str = MODEL, giant: int = GIANT, chunk: int = CHUNK, with_ids: bool = True) -> DataFrame:
+def encode(
+    docs: DataFrame, keep: list[str], model: str = MODEL, giant: int = GIANT, chunk: int = CHUNK, with_ids: bool = True, allow_merges: bool = True
+) -> DataFrame:
     """The `keep` columns with n_tokens, ids_sha256 (of little-endian 32-bit ids), round_trip and, if asked for, ids.
 
     The ids are the segmentation with the largest sum of piece scores (of equal ones, the one whose last piece is longest,
     and so on to the front), which SentencePiece calls unigram inference, over the given model's pieces. Texts of up to
     `giant` characters are encoded in one task, word by word. Longer ones are split into chunks anywhere; each chunk's task
     gives a matrix of best scores between the states at its two ends, the matrices are composed, and each chunk is traced
-    back on its own from its entry scores; the result is the same. round_trip says that decoding gives the text back.
+    back on its own from its entry scores; the result is the same. Models for merging pairs have scores that rank merges;
+    the library would give other ids for them, and allow_merges=False refuses them. round_trip says that decoding gives the text back.
 
     Null text has null ids, no tokens and the digest of nothing; an empty text has no ids. Rows are independent: repeated
     rows get equal results, an empty table an empty one. A column of `keep` with the name of a result gives way to it.
@@ -385,12 +431,14 @@ def encode(docs: DataFrame, keep: list[str], model: str = MODEL, giant: int = GI
     tune(docs.sparkSession)
     if chunk < 32:
         raise ValueError("chunk must be 32 at least")
+    proto = _read(docs.sparkSession, model, allow_merges)
     fields = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("round_trip", T.BooleanType())]
     fields += [("ids", T.ArrayType(T.IntegerType()))] if with_ids else []
     small = docs.where(F.col("text").isNull() | (F.length("text") <= giant))
 
     def words():
         def work(batch: pa.RecordBatch) -> dict:
+            vocabulary(model, proto.value)
             column = batch.column(batch.schema.get_field_index("text"))
             return _outputs(*_encode_batch(model, column), np.asarray(column.is_null()), with_ids)
 
@@ -398,12 +446,12 @@ def encode(docs: DataFrame, keep: list[str], model: str = MODEL, giant: int = GI
 
     done = map_arrow(small, words, fields, keep)
     large = docs.where(F.length("text") > giant)
-    found = _giants(large, model, chunk)
+    found = _giants(large, model, proto, chunk)
     large = large.withColumn("__quire_key", F.md5("text")).join(found.select(F.col("text_key").alias("__quire_key"), F.col("ids").alias("__quire_ids")), "__quire_key")
 
     def check():
         def work(batch: pa.RecordBatch) -> dict:
-            v = vocabulary(model)
+            v = vocabulary(model, proto.value)
             column = batch.column(batch.schema.get_field_index("__quire_ids"))
             ids = [np.array(x, np.int32) for x in column.to_pylist()]
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
@@ -419,10 +467,11 @@ def encode(docs: DataFrame, keep: list[str], model: str = MODEL, giant: int = GI
 def decode(tokens: DataFrame, keep: list[str], model: str = MODEL, ids: str = "ids") -> DataFrame:
     """The `keep` columns with `text`, what the ids stand for; null ids give null. Ids out of range raise an error."""
     tune(tokens.sparkSession)
+    proto = _read(tokens.sparkSession, model, True)  # decoding is the same for every kind
 
     def make():
         def work(batch: pa.RecordBatch) -> dict:
-            v = vocabulary(model)
+            v = vocabulary(model, proto.value)
             rows = batch.column(batch.schema.get_field_index(ids)).to_pylist()
             return {"text": [None if x is None else b"".join(v.bytes[i] for i in x).decode("utf-8", "replace")[1:] for x in rows]}
 

@@ -405,6 +405,18 @@ def test_encoding_equals_the_library(unigram):
         assert ids[bounds[i] : bounds[i + 1]].tolist() == unigram.encode(t) == (v.unit(" " + t)[0] if t else [])
 
 
+def test_a_unigram_model_gives_the_ids_of_the_library(spark, unigram, tmp_path):
+    """The whole operator, short and giant texts, with a model file of that kind; a merging model can be refused."""
+    path = tmp_path / "unigram.model"
+    path.write_bytes(unigram.serialized_model_proto())
+    texts = [t for t in TEXTS if "▁" not in t and "\0" not in t]
+    for giant in (10**6, 20):
+        got = {r.doc_id: r.ids for r in sp.encode(table(spark, list(enumerate(texts))), ["doc_id"], str(path), giant, 32, allow_merges=False).collect()}
+        assert got == {i: unigram.encode(t) for i, t in enumerate(texts)}
+    with pytest.raises(ValueError, match="merging"):
+        sp.encode(table(spark, [(1, "x")]), ["doc_id"], allow_merges=False)
+
+
 @pytest.mark.parametrize("chunk", [32, 47])
 def test_chunks_equal_the_whole(spark, chunk):
     rows = list(enumerate([*TEXTS, None, TEXTS[5], "x" * 500, "é" * 100]))
