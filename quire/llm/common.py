@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import re
 import tempfile
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 from quire.workers import share_package
 
 #: Bytes of one Arrow batch handed to a Python worker; bounds the worker's memory for texts of any length but a single giant one.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def named(column: str) -> Column:
@@ -125,10 +126,21 @@ def map_arrow(
             cols = [batch.column(batch.schema.get_field_index(k)) for k in inner]
             cols += [out[n] if isinstance(out[n], pa.Array) else pa.array(out[n], type=target[n]) for n in names]
             yield pa.RecordBatch.from_arrays(cols, names=[*inner, *names])
+            del batch, out, cols
+        give_back()
 
     return df.mapInArrow(run, schema).select(*[F.col(k).alias(c) for c, k in zip(keep, inner, strict=True)], *names)
 
 
+def give_back() -> None:
+    """Return the memory that a finished task has freed to the system; workers live on between tasks, beside others."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def to_arrow(t: T.DataType) -> pa.DataType:
     simple = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(), "float": pa.float32(), "boolean": pa.bool_(), "binary": pa.binary()}
     if isinstance(t, T.ArrayType):
@@ -154,7 +166,10 @@ def fit_in_task(rows: DataFrame, fit: Callable[[dict[str, list]], object]) -> ob
         for batch in batches:
             for name, values in batch.to_pydict().items():
                 columns.setdefault(name, []).extend(values)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(columns))], pa.binary())], names=["model"])
+        model = pickle.dumps(fit(columns))
+        columns.clear()
+        give_back()
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
     found = rows.mapInArrow(run, "model binary").collect()
     return pickle.loads(found[0].model) if found else fit({})

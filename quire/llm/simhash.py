@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm import textblocks as tb
-from quire.llm.common import discard, map_arrow, materialize, tune
+from quire.llm.common import discard, give_back, map_arrow, materialize, tune
 from quire.llm.components import connected_components
 
 SHINGLE = 3
@@ -289,6 +289,7 @@ def _links(nodes: DataFrame, radius: int) -> DataFrame:
         side = int(pdf["shard"].iloc[0]) & 1
         u = fp.view(np.uint64)
         rng = np.random.default_rng(1)
+        give_back()
         e = np.array(_shard_edges(u, _halves(fp)[side], pdf["home"].to_numpy(), radius, reach, rng), np.int64).reshape(-1, 2)
         return pd.DataFrame({"u": fp[e[:, 0]], "v": fp[e[:, 1]]})
 

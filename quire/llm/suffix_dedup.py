@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm import textblocks as tb
-from quire.llm.common import discard, map_arrow, materialize, named, tune
+from quire.llm.common import discard, give_back, map_arrow, materialize, named, tune
 
 #: Threshold in bytes: repeated strings of this length are removed.
 DEPTH = 50
@@ -238,6 +238,7 @@ def _shared_digits(blocks: DataFrame, buckets: int, depth: int, digit: int) -> D
                 "copies": [b"".join(k for k, d_ in own if d_ > least[k]) for own in rows],
             }
         )
+        give_back()
         return found[(found["shared"] != b"") | (found["copies"] != b"")]
 
     rows = blocks.mapInArrow(emit, "bucket int, block long, digits binary, copy_keys binary, ids binary")
@@ -272,6 +273,7 @@ def _compare(pdf: pd.DataFrame, depth: int, buckets: int) -> pd.DataFrame:
     The rest is dealt to buckets by another digit (the gram of smallest hash under another hash), so that different windows
     of one hot digit part and neighbours mostly stay together.
     """
+    give_back()
     if "rest" in pdf:
         pdf = pd.DataFrame([pickle.loads(x) for x in pdf["rest"]], columns=_REST).assign(salt=pdf["salt"].to_numpy())
     join = lambda c, t: np.frombuffer(b"".join(pdf[c]), t)
