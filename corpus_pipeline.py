@@ -52,7 +52,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     # a number for each row without id keeps such rows apart
     keyed = keyed.withColumn("__quire_row", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
     kept = keyed.join(dropped, ["doc_id", "__quire_key"], "left_anti")
-    return kept.dropDuplicates(["doc_id", "text", "__quire_row"]).select(*[named(c) for c in docs.columns])
+    # by the digest, not the text: the rows already lie where these keys are together
+    return kept.dropDuplicates(["doc_id", "__quire_key", "__quire_row"]).select(*[named(c) for c in docs.columns])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
