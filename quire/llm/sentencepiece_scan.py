@@ -22,7 +22,7 @@ GIANT = 1 << 16
 CHUNK = 1 << 14
 #: Scores up to this one mean that the piece is never made by merging.
 NO_MERGE = -100_000_000
-_CACHE = 60_000
+_CACHE = 150_000
 #: A model file of more bytes is not sent to the tasks.
 MAX_MODEL = 64 << 20
 _NONE = -(1 << 60)
