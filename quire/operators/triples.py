@@ -132,12 +132,12 @@ def page_triples(pages: DataFrame, run_ts: str, space: Space = Space(), key: Col
     return _build(pages, "document", key, template)
 
 
-def page_date_triples(dates: DataFrame, space: Space = Space(), profile: str = "code") -> DataFrame:
+def page_date_triples(dates: DataFrame, space: Space = Space(), profile: str = "code", key: Column | str = "page") -> DataFrame:
     """Production dates of pages (diary, page, object as ISO date, predicate, original_text).
 
     Eight triples a date in the profile "code"; twelve in "golden", where production nodes lie outside the resources, carry a
     label, a confidence and the original text, and the document is linked to the date. Other predicates than the header's
-    become plain literals.
+    become plain literals. `key` names the graph; it must be the key of the page's own graph.
     """
     number = F.col("page").cast("string")
     golden = profile == "golden"
@@ -162,15 +162,18 @@ def page_date_triples(dates: DataFrame, space: Space = Space(), profile: str = "
             _lit(span, f"{space.ontology}original_date_text", F.col("original_text")),
             _iri(f, f"{space.ontology}has_date", day),
         ]
-    return _build(dates.where(F.col("predicate") == HEADER_SENTINEL), "document", "page", template)
+    return _build(dates.where(F.col("predicate") == HEADER_SENTINEL), "document", key, template)
 
 
-def annotation_triples(annotations: DataFrame, run_ts: str, space: Space = Space(), compat_source: bool = False, random_ids: bool = False) -> DataFrame:
+def annotation_triples(
+    annotations: DataFrame, run_ts: str, space: Space = Space(), compat_source: bool = False, random_ids: bool = False, key: Column | str = "id"
+) -> DataFrame:
     """Graphs of annotations (diary, id, page, type, fulltext, permalinks, para_index, start, end, annotator): 36 triples
     and one per permalink that is not empty.
 
     Inner nodes are named by a hash of annotation and role, so a rerun gives the same graph; random_ids uses UUIDs (drawn
-    once per row). compat_source repeats the doubled slash of older source addresses.
+    once per row). compat_source repeats the doubled slash of older source addresses. `key` names the graph; ids are unique
+    within a diary only, so several diaries need their name in it.
     """
     rows = annotations
     roles = ("event", "target", "range", "start", "start-offset", "end", "end-offset")
@@ -225,13 +228,14 @@ def annotation_triples(annotations: DataFrame, run_ts: str, space: Space = Space
         _lit(b, f"{RDFS}label", F.col("fulltext")),
         _iri(a, f"{OA}hasBody", b),
     ]
-    graph = _build(rows, "annotation", "id", template)
-    links = rows.select("diary", "id", F.explode(F.filter("permalinks", lambda x: x != "")).alias("permalink"))
-    return graph.unionByName(_build(links, "annotation", "id", [_iri(b, f"{OWL}sameAs", F.col("permalink"))]))
+    key = F.col(key) if isinstance(key, str) else key
+    graph = _build(rows, "annotation", key, template)
+    links = rows.select("diary", "id", key.alias("key"), F.explode(F.filter("permalinks", lambda x: x != "")).alias("permalink"))
+    return graph.unionByName(_build(links, "annotation", "key", [_iri(b, f"{OWL}sameAs", F.col("permalink"))]))
 
 
-def day_triples(days: DataFrame, space: Space = Space()) -> DataFrame:
-    """Graphs of days (diary, day, date, page): six triples."""
+def day_triples(days: DataFrame, space: Space = Space(), key: Column | str = "day") -> DataFrame:
+    """Graphs of days (diary, day, date, page): six triples; `key` names the graph, as day numbers repeat between diaries."""
     node = _cat(space.resource, "diary/", F.col("diary"), "/day/", F.col("day").cast("string"))
     diary = _cat(space.resource, "diary/", F.col("diary"))
     template = [
@@ -242,7 +246,7 @@ def day_triples(days: DataFrame, space: Space = Space()) -> DataFrame:
         _lit(node, f"{space.ontology}order", F.col("day").cast("string"), "integer"),
         _iri(node, f"{CRM}P62i_is_depicted_by", _cat(diary, "/page/", F.col("page").cast("string"))),
     ]
-    return _build(days, "day", "day", template)
+    return _build(days, "day", key, template)
 
 
 def union_graphs(*graphs: DataFrame) -> DataFrame:

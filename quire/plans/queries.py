@@ -66,7 +66,7 @@ def page_sections(spark, d):
     return build_pages(_marked(spark, d)).select("diary", "page", "text", F.size("content").cast("long").alias("n_paras"))
 
 
-_PIECES = "concat(substr(text, 1, 20), '[p', doc_id % 200, ']', substr(text, 21, 20), '[7 verso]', substr(text, 41, 20))"
+_PIECES = "concat(substr(text, 1, 20), '[p', doc_id % 200, ']', substr(text, 21, 20), '[7 verso]', substr(text, 41))"
 
 
 @_query(rf"""WITH p AS (SELECT doc_id, unnest(x) AS piece, unnest(range(len(x))) AS pos FROM (SELECT doc_id,
@@ -192,7 +192,7 @@ def note_match_sheet(spark, d):
     return nt.match_sheet_notes(sheet, _document_pages(spark, d)).select("id", "fulltext", "para_index", "start", "end", "type")
 
 
-_FOOT = "concat(substr(text, 1, 30), ' ----f', doc_id % 5, '---- ', substr(text, 31, 30), ' ----f', doc_id % 7, '----')"
+_FOOT = "concat(substr(text, 1, 30), ' ----f', doc_id % 5, '---- ', substr(text, 31), ' ----f', doc_id % 7, '----')"
 
 
 @_query(rf"""WITH p AS (SELECT doc_id, {_FOOT} AS t FROM documents), m AS (SELECT doc_id, t, unnest(x) AS mark, unnest(range(len(x))) AS pos FROM (SELECT *, regexp_extract_all(t, '-{{4}}\w*-{{4}}') AS x FROM p)),
@@ -475,6 +475,6 @@ def entities(spark, d):
 @_query()
 def fuzzy_dates(spark, d):
     """A1, A2: the first plausible date of each document by lenient parsing."""
-    dated = _document_pages(spark, d).withColumn("line", F.concat(F.lit("Monday Aug. "), (F.col("ord") % 28 + 1).cast("string"), F.lit(". 91 "), F.substring("text", 1, 10)))
+    dated = _document_pages(spark, d).withColumn("line", F.concat(F.lit("Monday Aug. "), (F.col("ord") % 28 + 1).cast("string"), F.lit(". 91 Hotel")))
     dated = dated.withColumn("content", F.concat(F.array(F.struct(F.col("line").alias("text"), F.array().cast("array<struct<value:string,type:string,start_position:int,end_position:int>>").alias("runs"))), "content"))
     return page_metadata(dated, dt.date(2025, 5, 26), "golden").select("diary", "page", "pos", "object")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from pathlib import Path
 from urllib.parse import quote, unquote, urlparse
@@ -19,10 +20,12 @@ from quire.workers import share_package
 def write_named_texts(rows: DataFrame, root: str) -> None:
     """Write each row (name, body) as the UTF-8 file root/name, from the tasks that hold the rows.
 
-    `root` is a folder that all executors mount. A file appears whole or not at all (written beside, then moved), so that
+    `root` is a folder that all executors mount, as a path or file: address; any other address is an error. A file appears whole or not at all (written beside, then moved), so that
     repeated tasks do no harm; existing files are replaced.
     """
     share_package(rows.sparkSession)
+    if re.match(r"(?!file:)[A-Za-z][A-Za-z0-9+.-]*:", root):
+        raise ValueError(f"files can be written to a mounted folder only, not to {root}")
     base = unquote(urlparse(root).path) if root.startswith("file:") else root
 
     def write(part: Iterator) -> None:

@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 import time
 import zipfile
@@ -53,6 +54,39 @@ def test_publish(spark, folder, tmp_path_factory):
     assert len(lines) == 20
 
 
+def test_publish_with_notes_dates_footnotes_and_store(spark, tmp_path, tmp_path_factory):
+    for d in ("a", "b"):
+        docx(tmp_path / f"{d}.docx", run("[p1]"), run("Monday August 7 1891."), run(f"The Mona Lisa in {d} ----f1---- stands"))
+        (tmp_path / f"{d}.json").write_text(json.dumps({"sequences": [{"canvases": [{"images": [{"resource": {"@id": f"https://i.example.org/{d}"}}]}]}]}))
+    out, store = tmp_path_factory.mktemp("out"), tmp_path_factory.mktemp("store")
+    notes = spark.createDataFrame([(d, i, 1, "art", v, "Ann") for d in "ab" for i, v in enumerate(["mona lisa", "no such thing"])], "diary string, id int, page int, type string, value string, annotator string")
+    foot = spark.createDataFrame([("f1", "a note", "x", ["l"])], "footnote_id string, fulltext string, type string, permalinks array<string>")
+    where = spark.createDataFrame([("a", 0, 1, "POINT(1 2)", "Rome", "Q220")], "diary string, row_no int, page int, wkt string, name string, link_id string")
+    days = spark.createDataFrame([(d, 1, "1891-08-07", 1) for d in "ab"], "diary string, day int, date string, page int")
+
+    def send(method, uri, body):
+        with open(store / "log", "a") as f:
+            f.write(f"{method} {uri} {len(body or '')}\n")
+
+    options = Options(default_date=dt.date(2025, 5, 26), date_profile="golden")
+    issues = publish(spark, f"file://{tmp_path}", f"file://{tmp_path}/*.json", f"file://{out}", options, notes, foot, where, days, send).collect()
+    assert sorted(r.diary for r in issues if r.stage == "notes" and r.key == "1") == ["a", "b"]
+    for d in "ab":
+        assert "mona lisa" in (out / f"{d}/ttl/annotation/0.ttl").read_text() and (out / f"{d}/ttl/day/1.ttl").exists()
+        assert "1891-08-07" in (out / f"{d}/ttl/document/1.ttl").read_text()
+    assert "POINT(1 2)" in (out / "a/ttl/document/1.ttl").read_text() and "POINT" not in (out / "b/ttl/document/1.ttl").read_text()
+    assert any("a note" in f.read_text() for f in (out / "footnotes").rglob("*.csv"))
+    log = (store / "log").read_text().splitlines()
+    assert len(log) == 16 and len({x.split()[1] for x in log}) == 8 and all((x.split()[2] == "0") == x.startswith("DELETE") for x in log)
+
+
+def test_files_go_to_mounted_folders_only(spark):
+    from quire.sinks.files import write_named_texts
+
+    with pytest.raises(ValueError, match="mounted"):
+        write_named_texts(spark.createDataFrame([("x", "y")], "name string, body string"), "s3a://bucket/x")
+
+
 def test_text_sources(spark, tmp_path):
     (tmp_path / "a b.txt").write_text("x\n\ny\n")
     root = f"file://{tmp_path}"

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from quire.operators import triples as tr
 from quire.sinks.files import ntriples, turtle, upload_plan
 
@@ -41,3 +43,15 @@ def test_serialisation(spark):
     assert '<https://example.org/resource/diary/d/page/7> <http://www.w3.org/1999/02/22-rdf-syntax-ns#value> "a \\"b\\"\\n\\\\c"^^<http://www.w3.org/2001/XMLSchema#string> .' in lines
     body = turtle(g).first().body
     assert "@prefix crm: <http://www.cidoc-crm.org/cidoc-crm/> ." in body and 'rdfs:label "7"^^xsd:string' in body
+
+
+def test_graphs_of_two_diaries_stay_apart(spark):
+    """Annotation, day and page numbers repeat between diaries; the key keeps their graphs apart."""
+    a = spark.createDataFrame([(d, "0", 1, "art", "f", ["l"], 1, 0, 2, None) for d in "de"], "diary string, id string, page int, type string, fulltext string, permalinks array<string>, para_index int, start int, end int, annotator string")
+    keys = lambda g: {r.graph_key for r in g.select("graph_key").distinct().collect()}
+    assert keys(tr.annotation_triples(a, TS, key=F.concat_ws("/", "diary", "id"))) == {"d/0", "e/0"}
+    assert tr.annotation_triples(a, TS, key=F.concat_ws("/", "diary", "id")).groupBy("graph_key").count().where("count = 37").count() == 2
+    days = spark.createDataFrame([(d, 1, "1891-08-07", 7) for d in "de"], "diary string, day int, date string, page int")
+    assert keys(tr.day_triples(days, key=F.concat_ws("/", "diary", "day"))) == {"d/1", "e/1"}
+    dates = spark.createDataFrame([(d, 7, "1891-08-07", "$$HEADER$$_", "x") for d in "de"], "diary string, page int, object string, predicate string, original_text string")
+    assert keys(tr.page_date_triples(dates, key=F.concat_ws("/", "diary", "page"))) == {"d/7", "e/7"}
