@@ -5,6 +5,8 @@ from __future__ import annotations
 import configparser
 import io
 import zipfile
+from pathlib import Path
+from urllib.request import urlopen
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -210,3 +212,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def download(address: str, target: str, timeout: float = 60) -> None:
+    """Save what an address answers as a local file, whole or not at all; an answer other than success is an error."""
+    with urlopen(address, timeout=timeout) as answer:
+        body = answer.read()
+    beside = Path(f"{target}.part")
+    beside.parent.mkdir(parents=True, exist_ok=True)
+    beside.write_bytes(body)
+    beside.replace(target)

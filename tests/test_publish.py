@@ -80,6 +80,60 @@ def test_publish_with_notes_dates_footnotes_and_store(spark, tmp_path, tmp_path_
     assert len(log) == 16 and len({x.split()[1] for x in log}) == 8 and all((x.split()[2] == "0") == x.startswith("DELETE") for x in log)
 
 
+@pytest.fixture
+def web():
+    """A server on this machine that answers GET with the bytes at `files` and records what else it is asked."""
+    import http.server
+    import threading
+
+    seen, files = [], {}
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def answer(self):
+            body = self.rfile.read(int(self.headers.get("Content-Length") or 0)).decode()
+            if self.command != "GET":
+                seen.append((self.command, self.path, self.headers["Authorization"], body))
+            found = files.get(self.path) if self.command == "GET" else b""
+            self.send_response(404 if found is None or self.command == "DELETE" else 200)
+            self.end_headers()
+            self.wfile.write(found or b"")
+
+        do_GET = do_POST = do_DELETE = answer
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}", seen, files
+    server.shutdown()
+
+
+def test_command_line(spark, web, tmp_path, monkeypatch):
+    """Download, notes, dates and upload to a store, by the options alone."""
+    from quire import __main__ as command
+
+    address, seen, files = web
+    docx(tmp_path / "source.docx", run("[p1]"), run("Monday August 7 1891."), run("The Mona Lisa stands"))
+    files["/1891.docx"] = (tmp_path / "source.docx").read_bytes()
+    (tmp_path / "in/1891").mkdir(parents=True)
+    (tmp_path / "in/1891/1891.json").write_text(json.dumps({"sequences": [{"canvases": [{"images": [{"resource": {"@id": "https://i.example.org/1"}}]}]}]}))
+    (tmp_path / "notes.csv").write_text("Page #,Type,Entry,Paragraph #,Start,End,Annotator,Wikidata ID,WKT\n1,art,Mona Lisa,,,,Ann,Q1,\nx,art,Nothing,,,,Ann,,\n")
+    (tmp_path / "keys.ini").write_text(f"[store]\nusername = u\npassword = p%q\nendpoint = {address}/graphs\n")
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    command.main([
+        "-d", "1891", "--input", f"{tmp_path}/in", "--output", f"{tmp_path}/out", "--notes", f"{tmp_path}/notes.csv", "--default-date", "2025-05-26", "--fetch", address + "/{diary}.docx",
+        "-u", "--credentials-file", f"{tmp_path}/keys.ini",
+    ])
+    assert (tmp_path / "out/1891/ttl/annotation/1.ttl").exists()  # notes without a page come first
+    assert sorted(m for m, *_ in seen) == ["DELETE"] * 3 + ["POST"] * 3
+    assert {a for _, _, a, _ in seen} == {"Basic dTpwJXE="} and all("graph=https%3A%2F%2F" in path for _, path, _, _ in seen)
+    assert any("Mona Lisa" in body for m, _, _, body in seen if m == "POST")
+    with pytest.raises(OSError):
+        src.download(f"{address}/none", f"{tmp_path}/none")
+    assert not (tmp_path / "none").exists()
+
+
 def test_files_go_to_mounted_folders_only(spark):
     from quire.sinks.files import write_named_texts
 
