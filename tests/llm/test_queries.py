@@ -99,3 +99,48 @@ def test_near_dedup_stage_on_repeated_and_missing_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup_stage(spark, docs, DATA).collect()]
     assert sorted(got, key=repr) == sorted([(1, one), (7, two), (None, one), (None, two), (None, two)], key=repr)
+
+
+def test_decontamination_stage_rejects_long_documents_with_one_passage(spark, tmp_path):
+    """One shared passage rejects a document of any length; parts of a passage and other documents stay."""
+    item = " ".join(f"item{k}" for k in range(20))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    filler = " ".join(f"own{k}" for k in range(2000))
+    rows = [(1, f"{filler} {item} {filler}"), (2, f"{filler} {' '.join(item.split()[:12])} {filler}"), (3, item), (4, filler), (5, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.decontamination_stage(spark, docs, f"file://{tmp_path}").collect()) == [2, 4, 5, 6]
+
+
+def test_stages_take_any_column_name(spark):
+    """Columns with dots, backquotes and the names of results pass through every stage unchanged."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(30)
+    for name in ("meta.url", "a`b", "score", "n_hit", "items", "dropped", "__quire_key2"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    docs = docs.cache()
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, DATA)
+        assert out.columns == docs.columns
+        assert all(r["meta.url"] == f"meta.url{r.doc_id}" and r["n_hit"] == f"n_hit{r.doc_id}" for r in out.collect())
+    assert {r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, docs, DATA).collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_finished_stages_are_deleted(spark):
+    from quire.llm.common import tables
+
+    before = set(tables(spark))
+    out = corpus_pipeline.run(spark, DATA)
+    left = [p for p in tables(spark) if p not in before]
+    assert sum("stage-" in p for p in left) == 1 and not any("simhash" in p or "line" in p for p in left)
+    assert out.count() > 0
+
+
+def test_no_private_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from quire.llm import common
+
+    none = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d, set=lambda k, v: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(none)
+    none.sparkContext.master = "local[4]"
+    assert common.shared_dir(none).startswith("file://")
