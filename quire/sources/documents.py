@@ -5,6 +5,7 @@ from __future__ import annotations
 import configparser
 import io
 import zipfile
+import zlib
 from pathlib import Path
 from urllib.request import urlopen
 from xml.etree import ElementTree
@@ -20,6 +21,8 @@ from quire.workers import share_package
 
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 _OFF = {"0", "false", "off", "none"}
+#: What a file that is no archive, damaged, encrypted, of an unknown method or without a readable body raises.
+_UNREADABLE = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, KeyError, ElementTree.ParseError)
 
 
 def _on(properties: ElementTree.Element | None, tag: str) -> bool:
@@ -107,7 +110,7 @@ def _read_docx(spark: SparkSession, path: str, parse, schema: T.StructType) -> D
             for name, content in zip(pdf["path"], pdf["content"], strict=True):
                 try:
                     found = parse(content)
-                except (zipfile.BadZipFile, KeyError, ElementTree.ParseError):
+                except _UNREADABLE:
                     continue  # listed by docx_issues
                 rows += [(_diary_of(name), i, text, runs) for i, (text, runs) in enumerate(found)]
             yield pd.DataFrame(rows, columns=["diary", "seq", "text", last])
@@ -134,7 +137,7 @@ def docx_issues(spark: SparkSession, path: str) -> DataFrame:
             for name, content in zip(pdf["path"], pdf["content"], strict=True):
                 try:
                     _body(content)
-                except (zipfile.BadZipFile, KeyError, ElementTree.ParseError) as error:
+                except _UNREADABLE as error:
                     rows.append(("docx", _diary_of(name), name, str(error)))
             yield pd.DataFrame(rows, columns=["stage", "diary", "key", "message"])
 

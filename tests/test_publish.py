@@ -80,6 +80,21 @@ def test_publish_with_notes_dates_footnotes_and_store(spark, tmp_path, tmp_path_
     assert len(log) == 16 and len({x.split()[1] for x in log}) == 8 and all((x.split()[2] == "0") == x.startswith("DELETE") for x in log)
 
 
+def test_damaged_and_encrypted_files_are_issues(spark, tmp_path):
+    docx(tmp_path / "good.docx", run("text " * 50))
+    with zipfile.ZipFile(tmp_path / "packed.docx", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("word/document.xml", "<x>" + "abc" * 5000 + "</x>")
+    raw = bytearray((tmp_path / "packed.docx").read_bytes())
+    raw[60:75] = b"\xff" * 15
+    (tmp_path / "packed.docx").write_bytes(raw)
+    raw = bytearray((tmp_path / "good.docx").read_bytes())
+    raw[6] |= 1  # marked as encrypted, in the file's header and in the directory
+    raw[raw.index(b"PK\x01\x02") + 8] |= 1
+    (tmp_path / "locked.docx").write_bytes(raw)
+    assert sorted(r.diary for r in src.docx_issues(spark, f"file://{tmp_path}").collect()) == ["locked", "packed"]
+    assert {r.diary for r in src.read_docx(spark, f"file://{tmp_path}").collect()} == {"good"}
+
+
 @pytest.fixture
 def web():
     """A server on this machine that answers GET with the bytes at `files` and records what else it is asked."""
