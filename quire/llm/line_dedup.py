@@ -74,7 +74,8 @@ def _keyed(docs: DataFrame, min_docs: int, depth: int, agree_tenths: int) -> Dat
     merged = judged.where("agrees").select("m", F.unhex(F.md5(F.concat(F.lit("leaf "), F.col("leaf").cast("string")))).alias("leaf_key"))
     # a tail so short that no position may differ can follow its own form only
     tail = F.size("tokens") - depth
-    rest = materialize(judged.where(~F.col("agrees") & (10 * (tail - 1) >= agree_tenths * tail)).select("leaf", "m", "rows", "tokens"), "line-rest")
+    rest = judged.where(~F.col("agrees") & (10 * (tail - 1) >= agree_tenths * tail) & _may_share(depth, agree_tenths))
+    rest = materialize(rest.select("leaf", "m", "rows", "tokens"), "line-rest")
     further = _further(rest, min_docs, depth, agree_tenths)
     merged = merged if further is None else merged.unionByName(further)
     return live.join(merged, "m", "left").select("doc_id", "text_key", "line_no", F.coalesce("leaf_key", "m").alias("key"))
@@ -90,21 +91,46 @@ def _with_lines(rows: DataFrame, text: str) -> DataFrame:
 
 
 def _spread(forms: DataFrame, by: str, depth: int) -> DataFrame:
-    """The rows that hold each token at each position behind the leading tokens."""
+    """The rows and forms that hold each token at each position behind the leading tokens."""
     spread = forms.select(by, "rows", F.posexplode("tokens").alias("pos", "token")).where(F.col("pos") >= depth)
-    return spread.groupBy(by, "pos", "token").agg(F.sum("rows").alias("rows"))
+    return spread.groupBy(by, "pos", "token").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("forms"))
+
+
+def _bit(token):
+    return F.xxhash64(token).bitwiseAND(F.lit(63)).cast("int")
 
 
 def _templates(forms: DataFrame, by: str, depth: int) -> DataFrame:
-    """The template of each leaf or group: at each position the commonest token (the smallest of equals)."""
-    common = _spread(forms, by, depth).groupBy(by, "pos").agg(F.min_by("token", F.struct(-F.col("rows"), F.col("token"))).alias("token"))
-    return common.groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("template"))
+    """Each leaf or group by position: its template, which is the commonest token (the smallest of equals); whether tokens differ
+    there; and the bits of the tokens that several forms have there, which is 8 bytes however large the group is."""
+    bit = F.when(F.col("forms") >= 2, F.call_function("shiftleft", F.lit(1).cast("long"), _bit("token"))).otherwise(F.lit(0).cast("long"))
+    common = _spread(forms, by, depth).groupBy(by, "pos").agg(
+        F.min_by("token", F.struct(-F.col("rows"), F.col("token"))).alias("token"), (F.count(F.lit(1)) >= 2).alias("differ"), F.bit_or(bit).alias("shared")
+    )
+    places = common.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("pos", "token", "differ", "shared"))).alias("places"))
+    return places.select(by, F.col("places.token").alias("template"), F.col("places.differ").alias("differ"), F.col("places.shared").alias("shared"))
 
 
-def _agrees(depth: int, agree_tenths: int):
+def _places(depth: int, against: str, holds):
+    """At how many positions behind the leading ones `holds` is true of the token and the entry of `against`."""
     tail = F.slice("tokens", depth + 1, F.greatest(F.size("tokens") - depth, F.lit(0)))
-    same = F.size(F.filter(F.zip_with(tail, F.col("template"), lambda a, b: a == b), lambda x: x))
-    return 10 * same >= agree_tenths * (F.size("tokens") - depth)
+    return F.size(F.filter(F.zip_with(tail, F.col(against), holds), lambda x: x))
+
+
+def _agrees(depth: int, agree_tenths: int):
+    return 10 * _places(depth, "template", lambda a, b: a == b) >= agree_tenths * (F.size("tokens") - depth)
+
+
+def _may_share(depth: int, agree_tenths: int):
+    """False of forms that cannot follow any template together with another form of their leaf or group.
+
+    Two forms that both agree with one template in `a` of `t` positions have the same token in 2a - t positions at least. A form
+    whose tokens are not held by several forms in as many positions has no such partner. Bits that tokens have in common
+    only let a form stay.
+    """
+    tail = F.size("tokens") - depth
+    least = F.ceil(F.lit(agree_tenths) * tail / 10)
+    return _places(depth, "shared", lambda a, b: F.getbit(b, _bit(a)) == 1) >= 2 * least - tail
 
 
 def _further(rest: DataFrame, min_docs: int, depth: int, agree_tenths: int) -> DataFrame | None:
@@ -112,7 +138,8 @@ def _further(rest: DataFrame, min_docs: int, depth: int, agree_tenths: int) -> D
 
     In each round every group of forms (at first a leaf) gets a template; the forms that do not agree with it go on by
     their token at one position: of those at which the group differs, the one where these forms differ least, so that mixed
-    templates come apart before a field is split. A group of one form or of too few lines ends. Each round fixes a
+    templates come apart before a field is split. Forms that have no partner in their group end, as does a group of one form
+    or of too few lines; so lines of prose that happen to begin alike do not go through the rounds. Each round fixes a
     position, so there are at most as many as a line has tokens, and all groups share a round.
     """
     found, old = None, []
@@ -129,11 +156,12 @@ def _further(rest: DataFrame, min_docs: int, depth: int, agree_tenths: int) -> D
         new = judged.where("agrees").groupBy("leaf", "group", "template").agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("lines"))
         new = materialize(new.where((F.col("n") >= 2) & (F.col("lines") >= min_docs)).select("leaf", "template", "lines"), "further-templates")
         found = new if found is None else found.unionByName(new)
-        left = judged.where(~F.col("agrees")).select("leaf", "m", "rows", "tokens", "group")
-        places = judged.select("group", (~F.col("agrees")).cast("long").alias("rows"), "tokens")
-        places = _spread(places, "group", depth).groupBy("group", "pos").agg(F.sum(F.col("rows") * F.col("rows")).alias("weight"), F.count(F.lit(1)).alias("n"))
-        split = places.where(F.col("n") >= 2).groupBy("group").agg(F.min_by("pos", F.struct(-F.col("weight"), F.col("pos"))).alias("pos"))
-        old = [groups, template]
+        left = judged.where(~F.col("agrees") & _may_share(depth, agree_tenths)).select("leaf", "m", "rows", "tokens", "group")
+        places = _spread(left, "group", depth).groupBy("group", "pos").agg(F.sum(F.col("forms") * F.col("forms")).alias("weight"))
+        places = places.join(template, "group").where(F.col("differ")[F.col("pos") - depth])
+        split = places.groupBy("group").agg(F.min_by("pos", F.struct(-F.col("weight"), F.col("pos"))).alias("pos"))
+        split = materialize(split, "group-splits")  # the next groups are read twice
+        old = [groups, template, split]
         groups = left.join(split, "group").withColumn("group", F.xxhash64("group", "pos", F.col("tokens")[F.col("pos")])).drop("pos")
     if found is None:
         return None

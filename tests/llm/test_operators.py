@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quire.llm import decontaminate as dc
 from quire.llm import language_id as li
+from quire.llm import line_dedup as ld
 from quire.llm import quality as ql
 from quire.llm import secret_scan as ss
 from quire.llm import sentencepiece_scan as sp
@@ -110,6 +111,48 @@ def test_line_dedup_mixed_templates(spark):
     assert sorted(i for i, n in got.items() if not n) == [0, 100, 200]
 
 
+def test_line_dedup_prose_that_begins_alike(spark, monkeypatch):
+    """Lines that share their beginning only do not go through the rounds; the templates among them are found."""
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    draw = lambda n: ["".join(rng.choices(letters, k=4)) for _ in range(n)]
+    one, two = draw(30), draw(30)
+    tails = [[*one[:9], *draw(1), *one[10:]] for _ in range(40)] + [[*two[:20], *draw(2), *two[22:]] for _ in range(20)]
+    tails += [draw(30) for _ in range(300)]
+    sizes, materialize = {}, ld.materialize
+
+    def counted(df, name):
+        out = materialize(df, name)
+        sizes.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(ld, "materialize", counted)
+    got = {r.doc_id: r.n_dropped for r in line_dedup(table(spark, [(i, " ".join(["And", "so", "it", *t])) for i, t in enumerate(tails)]), counts=True).collect()}
+    assert sorted(i for i, n in got.items() if not n) == [0, 40, *range(60, 360)]
+    assert sizes["line-forms"] == [360] and sizes["line-rest"][0] < 40 and sum(sizes["line-groups"]) < 60
+
+
+def test_line_dedup_forms_without_partner(spark):
+    """A form stays in the rounds if enough of its tokens are held by several forms of its group, so no possible partner is lost."""
+    rng = random.Random(12)
+    forms = []
+    for leaf in range(30):
+        t, size = rng.randint(4, 24), rng.choice([6, 30, 200])
+        own = [[f"w{rng.randrange(size)}" for _ in range(t)] for _ in range(10)]
+        own += [[x if rng.random() < 0.7 else "other" + x for x in own[0]], list(own[1])]
+        forms += [(leaf, 100 * leaf + i, 1, ["a", "b", "c", *tokens]) for i, tokens in enumerate(own)]
+    df = spark.createDataFrame(forms, "leaf long, m long, rows long, tokens array<string>")
+    judged = df.join(ld._templates(df, "leaf", 3), "leaf")
+    got = {r.m: r.stays for r in judged.select("m", ld._may_share(3, 7).alias("stays")).collect()}
+    assert len(got) == len(forms)
+    for leaf, m, _, tokens in forms:
+        others = [o[3] for o in forms if o[0] == leaf and o[1] != m]
+        t = len(tokens) - 3
+        held = sum(any(o[p] == tokens[p] for o in others) for p in range(3, len(tokens)))
+        assert got[m] or held < 2 * -(-7 * t // 10) - t
+    assert 20 < sum(got.values()) < 0.8 * len(got)
+
+
 def test_line_dedup_counts_documents_and_odd_rows(spark):
     rows = [(1, "a b\na b\na b\na b"), (2, "a b"), *[(i, f"q {c}") for i, c in enumerate("rstuv", 10)]]
     assert all(r.n_dropped == 0 for r in line_dedup(table(spark, rows), counts=True).collect())
