@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from quire.llm import decontaminate as dc
 from quire.llm import language_id as li
 from quire.llm import line_dedup as ld
@@ -132,6 +133,29 @@ def test_line_dedup_prose_that_begins_alike(spark, monkeypatch):
     assert sizes["line-forms"] == [360] and sizes["line-rest"][0] < 40 and sum(sizes["line-groups"]) < 60
 
 
+def test_pipeline_line_dedup_grows_with_its_input(spark, monkeypatch):
+    """Five times the documents bring at most five times the forms to the rounds of the pipeline's stage, though leaves fill up."""
+    rng = random.Random(13)
+    draw = lambda n: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=4)) for _ in range(n)]
+    one, two = draw(20), draw(20)
+    forms, materialize = [], ld.materialize
+
+    def counted(df, name):
+        out = materialize(df, name)
+        if name == "line-groups":
+            forms[-1] += out.count()
+        return out
+
+    monkeypatch.setattr(ld, "materialize", counted)
+    for size in (1, 5):
+        tails = [[*one[:9], *draw(1), *one[10:]] for _ in range(16 * size)] + [[*two[:9], *draw(1), *two[10:]] for _ in range(8 * size)]
+        lines = [" ".join(["And", "so", "it", *t]) for t in tails] + [" ".join(["A", "leaf", f"{'abcdefgh'[i % 8]}{'abcdefgh'[i // 8 % 8]}", *draw(20)]) for i in rng.sample(range(640), 64 * size)]
+        forms.append(0)
+        got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup_stage(spark, table(spark, list(enumerate(lines))), "").collect()}
+        assert [i for i, line in enumerate(lines) if got[i] == line] == [0, 16 * size, *range(24 * size, len(lines))]
+    assert 8 <= forms[0] and forms[1] <= 5 * forms[0] + 8
+
+
 def test_line_dedup_forms_without_partner(spark):
     """A form stays in the rounds if enough of its tokens are held by several forms of its group, so no possible partner is lost."""
     rng = random.Random(12)
