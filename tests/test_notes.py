@@ -30,6 +30,13 @@ def test_linked_notes(spark):
     assert got["1"].permalinks == [] and (got["1"].para_index, got["1"].start) == (2, 10)
 
 
+def test_sheet_notes_fall_back_to_the_descriptor(spark):
+    columns = ("diary", "Entity No.", "Diary Page", "Entity Type", "Entity (Value)", "Note 1 Descriptor", *[f"DIsambiguation URL {i}" for i in (1, 2, 3)])
+    sheet = [("d", "7", "p. 001", "visual arts", value, note, "u1", "", None) for value, note in (("night", "n"), ("", "n"), (None, "n"), ("", None), ("absent", "n"))]
+    got = nt.match_sheet_notes(spark.createDataFrame(sheet, ", ".join(f"`{c}` string" for c in columns)), page(spark, "day", "the night")).collect()
+    assert sorted((r.fulltext, r.para_index, r.start, r.end) for r in got) == [("", 1, 0, 0), ("n", 1, 0, 0), ("n", 1, 0, 0), ("night", 2, 4, 9)]
+
+
 def test_people_filter_keeps_missing_ids(spark):
     people = spark.createDataFrame([("person", None, 100), ("person", "None", 100), ("person", "Q", 72), ("place", "Q", 100), ("person", "Q2", 90)], "Type string, `Wikidata ID` string, `Page #` int")
     assert [(r["Wikidata ID"], r["Page #"]) for r in nt.people_on_pages(people).collect()] == [("Q2", 90), (None, 100)]
