@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import HEADER_SENTINEL
@@ -70,11 +71,26 @@ def _triple(s: Column | str, p: str, o: Column | str, kind: str, datatype: str |
     )
 
 
-def _build(rows: DataFrame, kind: str, key: Column | str, template: list[Column]) -> DataFrame:
-    """Fill the template for every row; triples without an object are optional parts that the row lacks."""
-    full = F.filter(F.array(*template), lambda t: t["object"].isNotNull() & t["subject"].isNotNull())
+def _build(rows: DataFrame, kind: str, key: Column | str, template: list[Column], inputs: Sequence[str]) -> DataFrame:
+    """Fill the template for every row, each triple of a graph once; triples without an object are optional parts that the row lacks.
+
+    `inputs` are the columns that the template reads. Equal triples lie in one graph, so rows are dealt by graph, before
+    they are filled: a row is narrower than its triples. The first row of a graph gives all its triples; of the others only those that
+    the first lacks are compared with each other. No two parts of a template may give the same triple for one row.
+    """
     key = F.col(key) if isinstance(key, str) else key
-    return rows.select(F.lit(kind).alias("graph_kind"), key.cast("string").alias("graph_key"), F.inline(full)).dropDuplicates()
+    # a number of partitions that adaptive execution keeps: by its size, it would deal these narrow rows to a few tasks
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = rows.select(key.cast("string").alias("graph_key"), *inputs).repartition(parts, "graph_key")
+    in_graph = Window.partitionBy("graph_key").orderBy(*inputs)
+    opening = F.first(F.struct(*inputs)).over(in_graph.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = keyed.withColumn("opens", F.lag(F.lit(True)).over(in_graph).isNull()).withColumn("opening", opening)
+    filled = F.array(*template)
+    first = numbered.where("opens").select("graph_key", F.inline(filled))
+    # twice the template: on the row's own columns, then on those of the graph's first row
+    rest = numbered.where("not opens").select("graph_key", filled.alias("own"), "opening.*").select("graph_key", F.inline(F.array_except("own", filled)))
+    full = first.unionByName(rest.dropDuplicates()).where("object is not null and subject is not null")
+    return full.select(F.lit(kind).alias("graph_kind"), "*")
 
 
 def diary_triples(diaries: DataFrame, space: Space = Space(), key: Column | str = "diary") -> DataFrame:
@@ -93,7 +109,7 @@ def diary_triples(diaries: DataFrame, space: Space = Space(), key: Column | str
         _iri(image, f"{RDF}type", f"{CRM}E38_Image"),
         _iri(image, f"{RDF}type", IMAGE_CLASS),
     ]
-    return _build(diaries, "diary", key, template)
+    return _build(diaries, "diary", key, template, ("diary", "image", "title", "idx", "iiif_manifest"))
 
 
 def page_triples(pages: DataFrame, run_ts: str, space: Space = Space(), key: Column | str = "page") -> DataFrame:
@@ -126,10 +142,10 @@ def page_triples(pages: DataFrame, run_ts: str, space: Space = Space(), key: Col
         _iri(p, f"{space.ontology}part_of", d),
         _lit(p, f"{RDF}value", F.col("text")),
     ]
-    for column, name_ in (("location_wkt", "hasLocationWkt"), ("location_name", "hasLocationName"), ("location_link", "hasLocationLink")):
-        if column in pages.columns:
-            template.append(_lit(p, f"{space.ontology}{name_}", F.col(column), None))
-    return _build(pages, "document", key, template)
+    located = {"location_wkt": "hasLocationWkt", "location_name": "hasLocationName", "location_link": "hasLocationLink"}
+    located = {column: name_ for column, name_ in located.items() if column in pages.columns}
+    template += [_lit(p, f"{space.ontology}{name_}", F.col(column), None) for column, name_ in located.items()]
+    return _build(pages, "document", key, template, ("diary", "page", "image", *located, "text"))
 
 
 def page_date_triples(dates: DataFrame, space: Space = Space(), profile: str = "code", key: Column | str = "page") -> DataFrame:
@@ -162,7 +178,7 @@ def page_date_triples(dates: DataFrame, space: Space = Space(), profile: str = "
             _lit(span, f"{space.ontology}original_date_text", F.col("original_text")),
             _iri(f, f"{space.ontology}has_date", day),
         ]
-    return _build(dates.where(F.col("predicate") == HEADER_SENTINEL), "document", key, template)
+    return _build(dates.where(F.col("predicate") == HEADER_SENTINEL), "document", key, template, ("diary", "page", "object", *(("original_text",) if golden else ())))
 
 
 def annotation_triples(
@@ -229,9 +245,10 @@ def annotation_triples(
         _iri(a, f"{OA}hasBody", b),
     ]
     key = F.col(key) if isinstance(key, str) else key
-    graph = _build(rows, "annotation", key, template)
+    inputs = ("diary", "id", "page", "type", "para_index", "start", "end", "annotator", "fulltext", *(f"uid_{r}" for r in roles if random_ids))
+    graph = _build(rows, "annotation", key, template, inputs)
     links = rows.select("diary", "id", key.alias("key"), F.explode(F.filter("permalinks", lambda x: x != "")).alias("permalink"))
-    return graph.unionByName(_build(links, "annotation", "key", [_iri(b, f"{OWL}sameAs", F.col("permalink"))]))
+    return graph.unionByName(_build(links, "annotation", "key", [_iri(b, f"{OWL}sameAs", F.col("permalink"))], ("diary", "id", "permalink")))
 
 
 def day_triples(days: DataFrame, space: Space = Space(), key: Column | str = "day") -> DataFrame:
@@ -246,7 +263,7 @@ def day_triples(days: DataFrame, space: Space = Space(), key: Column | str = "da
         _lit(node, f"{space.ontology}order", F.col("day").cast("string"), "integer"),
         _iri(node, f"{CRM}P62i_is_depicted_by", _cat(diary, "/page/", F.col("page").cast("string"))),
     ]
-    return _build(days, "day", key, template)
+    return _build(days, "day", key, template, ("diary", "day", "date", "page"))
 
 
 def union_graphs(*graphs: DataFrame) -> DataFrame:

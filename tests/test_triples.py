@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from quire.operators import triples as tr
@@ -55,3 +57,41 @@ def test_graphs_of_two_diaries_stay_apart(spark):
     assert keys(tr.day_triples(days, key=F.concat_ws("/", "diary", "day"))) == {"d/1", "e/1"}
     dates = spark.createDataFrame([(d, 7, "1891-08-07", "$$HEADER$$_", "x") for d in "de"], "diary string, page int, object string, predicate string, original_text string")
     assert keys(tr.page_date_triples(dates, key=F.concat_ws("/", "diary", "page"))) == {"d/7", "e/7"}
+
+
+def each_row_its_own_graph(build, rows, key):
+    """Triples of rows that were filled one by one: graph keys with their triples, each once."""
+    numbered = rows.coalesce(1).withColumn("row", F.monotonically_increasing_id()).cache()
+    keys = {str(r.row): r.k for r in numbered.select("row", key.cast("string").alias("k")).collect()}
+    return {(keys[r.graph_key], *r[2:]) for r in build(numbered, F.col("row")).collect()}
+
+
+def test_rows_of_one_graph_give_each_triple_once(spark):
+    """Repeated rows, several rows of a graph that share some triples, parts that a row lacks."""
+    dates = spark.createDataFrame(
+        [(d, page, f"1891-08-0{day}", "$$HEADER$$_", text) for d in "dea" for page in (1, 2, None) for day in (7, 8, 7, 9) for text in ("x", None, "y")],
+        "diary string, page int, object string, predicate string, original_text string",
+    )
+    annotations = spark.createDataFrame(
+        [(d, str(i), page, "art", text, [link, "m"], 1, 0, 2, None) for d in "de" for i in range(2) for page in (1, 2) for text in ("f", None) for link in "lmm"],
+        "diary string, id string, page int, type string, fulltext string, permalinks array<string>, para_index int, start int, end int, annotator string",
+    )
+    for build, rows, names in (
+        (lambda r, k: tr.page_date_triples(r, key=k), dates, ("page", F.concat_ws("/", "diary", "page"), F.lit("one"))),
+        (lambda r, k: tr.page_date_triples(r, profile="golden", key=k), dates, ("page", F.concat_ws("/", "diary", "page"), F.lit("one"))),
+        (lambda r, k: tr.annotation_triples(r, TS, key=k), annotations, ("id", F.concat_ws("/", "diary", "id"))),
+    ):
+        for key in names:
+            key = F.col(key) if isinstance(key, str) else key
+            got = [(r.graph_key, *r[2:]) for r in build(rows, key).collect()]
+            assert len(got) == len(set(got)) and set(got) == each_row_its_own_graph(build, rows, key)
+
+
+def test_page_dates_shuffle_rows_not_triples(spark):
+    dates = spark.createDataFrame([("d", 7, "1891-08-07", "$$HEADER$$_", "x")], "diary string, page int, object string, predicate string, original_text string")
+    dealt_by = shuffle_keys(tr.page_date_triples(dates))
+    assert dealt_by and not [x for x in dealt_by if "subject" in x]
+
+
+def shuffle_keys(df):
+    return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", df._jdf.queryExecution().executedPlan().toString())
