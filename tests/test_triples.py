@@ -93,5 +93,15 @@ def test_page_dates_shuffle_rows_not_triples(spark):
     assert dealt_by and not [x for x in dealt_by if "subject" in x]
 
 
+def test_days_shuffle_rows_not_triples(spark):
+    """One kept number of partitions, by graph: few large ones, or triples in place of rows, would fill a task's memory."""
+    days = spark.range(1000).selectExpr("'d' diary", "id day", "'1891-08-07' date", "id page")
+    graphs = tr.day_triples(days)
+    assert {x.split("#")[0] for x in shuffle_keys(graphs)} == {"graph_key"}
+    plan = graphs._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
+    assert graphs.count() == 6000
+
+
 def shuffle_keys(df):
     return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", df._jdf.queryExecution().executedPlan().toString())
