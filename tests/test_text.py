@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quire.functions import text as tx
-from quire.functions.dates import fuzzy_date
+from quire.functions.dates import date_parser, fuzzy_date, page_metadata
 
 
 def col(spark, values, fn, schema="v string"):
@@ -70,6 +70,43 @@ def test_fuzzy_dates(spark, text, want):
     assert col(spark, [text], lambda c: fuzzy_date(c, dt.date(2025, 5, 26), 1880, 1999)) == [want]
 
 
+_WORDS = "Mon TUESDAY wed Thu friday Sat sunday Jan february Mar april May JUNE jul August sep Sept. Oct november Dec x Mayor nan inf a pm utc m of 7 91 1891 ٣ ² M\x00ay é \u212a 10:30 + -".split(" ")
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from([*_WORDS, " ", ".", ",", "/"]), max_size=8), st.sampled_from(["", " "]))
+def test_lines_without_a_date_word_are_not_parsed(words, between):
+    """What is skipped without parsing holds no date for the parser either."""
+    from dateutil import parser
+
+    text, start = between.join(words), dt.datetime(2025, 5, 26)
+    try:
+        want = parser.parse(text, fuzzy=True, default=start).date()
+    except (parser.ParserError, OverflowError, ValueError, TypeError):
+        want = None
+    assert date_parser(start)(text) == want
+
+
+_PAGES = "diary string, page int, content array<struct<text:string>>"
+
+
+def test_first_date_of_a_page(spark):
+    """The first line in range, wherever it stands; rows of one page count as one; pages without a date or a text have no row."""
+    lines = {1: ["none", None, "May 1 2020", "Aug. 12. 91", "Aug. 13. 91"], 2: ["no date"], 3: None, 4: [], 5: ["August 7 1891. Antwerp" + "x" * 60]}
+    rows = [("d", page, ts if ts is None else [(t,) for t in ts]) for page, ts in lines.items()] + [("d", 1, [("x",), ("May 2 1892",)])]
+    got = page_metadata(spark.createDataFrame(rows, _PAGES), dt.date(2025, 5, 26), "golden").collect()
+    cut = "August 7 1891. Antwerp" + "x" * 28 + "..."
+    assert sorted((r.page, r.pos, r.object, r.original_text) for r in got) == [(1, 1, "1892-05-02", "May 2 1892..."), (5, 0, "1891-08-07", cut)]
+
+
+@pytest.mark.parametrize("profile", ["code", "golden"])
+def test_dates_are_parsed_once(spark, profile):
+    """The filter on the result must not bring a second pass of the parser."""
+    pages = spark.createDataFrame([("d", 1, [("May 1 1892",)])], _PAGES)
+    plan = page_metadata(pages, dt.date(2025, 5, 26), profile)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_html(spark):
     page = spark.sql("select array(named_struct('runs', array(named_struct('value','A<','type','bold'), named_struct('value','B','type','text'), named_struct('value','S','type','strike')))) c")
     assert page.select(tx.render_html("c")).first()[0] == "<html>\n\t<body>\n\t\t<p><b>A<</b>BS</p>\n\t</body>\n</html>"
